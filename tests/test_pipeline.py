@@ -1,0 +1,55 @@
+import math
+
+import pytest
+
+from wordloom.operators import bpe, lines
+from wordloom.plans.pipeline import Settings, run
+from wordloom.sources import readers
+
+TEXT = "the cat sat on the mat! the dog, the cat and\n\nthe mat\r\nA cat on a mat and a dog on a mat in the sun all day long!"
+SHORT = Settings(window=6, stride=2, dim=5, epochs=1, partitions=1)
+
+
+def corpus(frame):
+    return lines.to_lines(frame([(i, TEXT) for i in range(6)], "doc_id long, text string"))
+
+
+@pytest.mark.parametrize("with_encoder", [True, False])
+def test_three_stages(spark, frame, tmp_path, with_encoder):
+    encoder = bpe.Encoder(bpe.byte_ranks(spark)) if with_encoder else None
+    written = run(corpus(frame), str(tmp_path / "out"), SHORT, encoder)
+    expected = {"word_count", "samples", "embeddings"} | (set() if with_encoder else {"dictionary"})
+    assert set(written) == expected
+    counted = {r.word: r for r in spark.read.parquet(written["word_count"]).collect()}
+    assert counted["the"].n == 6 * TEXT.split().count("the") and counted[""].n == 6 and list(counted[""].token_ids) == []
+    assert len(counted["cat"].token_ids) == (3 if with_encoder else 1)
+    made = spark.read.parquet(written["samples"]).collect()
+    assert all(len(r.vec) == 6 for r in made) and {r.shard_id for r in made} == {0, 1}
+    assert len({r.sample_key for r in made}) == len(made)
+    ids = {int(x) for r in made for x in r.vec[: r.n_tokens]}
+    table = {r.token_id: r for r in spark.read.parquet(written["embeddings"]).collect()}
+    assert set(table) == ids
+    assert all(len(r.vec) == 5 and all(map(math.isfinite, r.vec)) and len(r.near) == 3 for r in table.values())
+    names = {r.token for r in table.values()}
+    assert ({"c", "t"} if with_encoder else {"cat", "ma", "the"}) <= names
+
+
+def test_nothing_to_count(spark, frame, tmp_path):
+    empty = lines.to_lines(frame([(1, "")], "doc_id long, text string"))
+    written = run(empty, str(tmp_path / "out"), SHORT, bpe.Encoder(bpe.byte_ranks(spark)))
+    assert set(written) == {"word_count"}
+
+
+def test_no_sample(spark, frame, tmp_path):
+    blank = lines.to_lines(frame([(1, "\n \n")], "doc_id long, text string"))
+    assert set(run(blank, str(tmp_path / "out"), SHORT)) == {"dictionary", "word_count", "samples"}
+
+
+def test_from_files(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "book.txt").write_bytes(TEXT.encode())
+    source = readers.text_files_with_offset(spark, str(tmp_path / "in"))
+    written = run(source, str(tmp_path / "out"), SHORT, bpe.Encoder(bpe.byte_ranks(spark)))
+    keys = {r.sample_key.rsplit("/", 1)[-1] for r in spark.read.parquet(written["samples"]).collect()}
+    third = TEXT.encode().index(b"A cat")
+    assert {"book.txt-0-0-0", "book.txt-0-1-0", f"book.txt-{third}-0-0"} <= keys

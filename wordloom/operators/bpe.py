@@ -56,7 +56,7 @@ class Encoder:
         self.ranks = ranks
         self._table = spark.sparkContext.broadcast({bytes(r.token_bytes): r.token_id for r in rows})
         self._pattern = pattern
-        self.max_id = max(r.token_id for r in rows)
+        self.size = len(rows)
 
     def word_ids(self, word: Column) -> Column:
         """ARRAY<INT> of one word; the empty word has none."""

@@ -17,11 +17,19 @@ ID_BITS = 32
 ID_MASK = (1 << ID_BITS) - 1
 
 
+def count_with_ids(words: DataFrame) -> DataFrame:
+    """(word, n, token_id): ids from 1 by falling count, then word; the empty word has none.
+
+    0 stays free for padding.
+    """
+    blank = F.col("word") == ""
+    ranked = with_position(word_count(words), [blank, F.desc("n"), F.asc("word")], "token_id")
+    return ranked.withColumn("token_id", F.when(~blank, F.col("token_id")).cast("int"))
+
+
 def build_dictionary(words: DataFrame) -> DataFrame:
-    """(word, n, token_id): ids from 1 by falling count, then word; 0 stays free for padding."""
-    counts = word_count(words.where("word <> ''"))
-    ranked = with_position(counts, [F.desc("n"), F.asc("word")], "token_id")
-    return ranked.withColumn("token_id", F.col("token_id").cast("int"))
+    """(word, n, token_id) of all words but the empty one."""
+    return count_with_ids(words.where("word <> ''"))
 
 
 def hot_limit(dictionary: DataFrame, max_bytes: int = HOT_BYTES) -> int | None:
@@ -30,9 +38,9 @@ def hot_limit(dictionary: DataFrame, max_bytes: int = HOT_BYTES) -> int | None:
     One row per power of two reaches the driver.
     """
     power = F.floor(F.log2("token_id")).cast("int").alias("power")
-    sizes = dictionary.groupBy(power).agg(F.sum(F.octet_length("word") + ROW_BYTES)).orderBy("power").collect()
+    sizes = dictionary.groupBy(power).agg(F.sum(F.octet_length("word") + ROW_BYTES)).collect()
     total = 0
-    for power, size in sizes:
+    for power, size in sorted(sizes):
         total += size
         if total > max_bytes:
             return 1 << power

@@ -8,31 +8,24 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.session import settle
-
-# Spark puts the partition number above bit 33 of its monotonic ids and the row's
-# place in its partition below.
-ROW_BITS = 33
+from wordloom.session import stage_table
 
 
 def with_position(df: DataFrame, order: list[Column], name: str, start: int = 1) -> DataFrame:
     """Add the position of each row in ``order``, which must be total.
 
-    The rows are range-sorted and settled; a row's position is its place in its partition plus the
-    rows of the partitions before it. Only one count per partition reaches the driver, and no
-    window over the whole table is needed.
+    The rows are range-sorted and written to the checkpoint folder, one file per range. A row's
+    position is its place in its file plus the rows of the files before it, so it is the same
+    however the files are read later. Only one count per file reaches the driver, and no window
+    over the whole table is needed.
     """
-    ordered = settle(df.orderBy(*order))
-    mark = F.monotonically_increasing_id()
-    placed = ordered.withColumn("_mark", mark).select(
-        *ordered.columns,
-        F.shiftright("_mark", ROW_BITS).cast("int").alias("_part"),
-        F.col("_mark").bitwiseAND(F.lit((1 << ROW_BITS) - 1)).alias("_place"),
-    )
+    ordered = stage_table(df.orderBy(*order), "ordered")
+    meta = F.col("_metadata")
+    part = F.regexp_extract(meta.getField("file_name"), r"part-(\d+)", 1).cast("int")
+    placed = ordered.select(*ordered.columns, part.alias("_part"), meta.getField("row_index").alias("_place"))
     sizes = sorted(placed.groupBy("_part").count().collect())
     before = list(accumulate((rows for _, rows in sizes), initial=start))[: len(sizes)]
-    parts = pa.table({"_part": pa.array([p for p, _ in sizes], pa.int32()), "_before": pa.array(before, pa.int64())})
-    table = df.sparkSession.createDataFrame(parts)
-    return placed.join(F.broadcast(table), "_part").select(
+    offsets = pa.table({"_part": pa.array([p for p, _ in sizes], pa.int32()), "_before": pa.array(before, pa.int64())})
+    return placed.join(F.broadcast(df.sparkSession.createDataFrame(offsets)), "_part").select(
         *ordered.columns, (F.col("_before") + F.col("_place")).alias(name)
     )

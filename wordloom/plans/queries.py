@@ -152,10 +152,8 @@ def vocab_size(spark, sf):
 
 def _counts_with_ids(spark, sf):
     """Word counts with the id text; the empty word has no id."""
-    counted = counts.word_count(_words(spark, sf))
-    ranked = dictionary.build_dictionary(_words(spark, sf)).select("word", "n", F.col("token_id").cast("string").alias("ids_str"))
-    blank = counted.where("word = ''").select("word", "n", F.lit("").alias("ids_str"))
-    return ranked.unionByName(blank)
+    ids = F.coalesce(F.col("token_id").cast("string"), F.lit("")).alias("ids_str")
+    return dictionary.count_with_ids(_words(spark, sf)).select("word", "n", ids)
 
 
 @query
@@ -392,17 +390,19 @@ def _sharded_samples(spark, sf, encoder, n):
 
 @query
 def word2vec_vectors(spark, sf):
-    return word2vec.fit_vectors(_sharded_samples(spark, sf, _encoder(spark), 1), **MODEL)
+    encoder = _encoder(spark)
+    return word2vec.fit_vectors(_sharded_samples(spark, sf, encoder, 1), vocab_bound=encoder.size, **MODEL)
 
 
 @query
 def word2vec_ensemble(spark, sf):
-    fitted = word2vec.fit_shards(_sharded_samples(spark, sf, _encoder(spark), 2), 2, **MODEL)
+    encoder = _encoder(spark)
+    fitted = word2vec.fit_shards(_sharded_samples(spark, sf, encoder, 2), 2, vocab_bound=encoder.size, **MODEL)
     return word2vec.merge_shards(fitted)
 
 
 @query
 def embedding_table(spark, sf):
     encoder = _encoder(spark)
-    fitted = word2vec.fit_shards(_sharded_samples(spark, sf, encoder, 2), 2, 5, **MODEL)
+    fitted = word2vec.fit_shards(_sharded_samples(spark, sf, encoder, 2), 2, 5, vocab_bound=encoder.size, **MODEL)
     return word2vec.embedding_table(fitted, encoder.decode(fitted.select("token_id")))

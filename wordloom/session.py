@@ -29,16 +29,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder now and go on from there.
-
-    The result keeps the partitions and the row order of ``df``, so anything derived from row
-    positions stays the same when an executor is lost and tasks are run again.
-    """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def stage_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the checkpoint folder and read it back.
 
