@@ -22,8 +22,10 @@ WORDS_100K = (
 )
 WORDS_50K = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-#: Most entries a rank table may have to be broadcast; public tables have 50,000 to 200,000.
+#: Most entries and bytes a rank table may have to be broadcast; public tables have 50,000 to
+#: 200,000 entries and about a megabyte.
 MAX_RANKS = 1_000_000
+MAX_RANK_BYTES = 64 << 20
 #: Distinct words a task remembers.
 MEMORY = 1 << 18
 
@@ -50,9 +52,10 @@ class Encoder:
 
     def __init__(self, ranks: DataFrame, pattern: str = WORDS_100K):
         spark = ranks.sparkSession
-        rows = ranks.limit(MAX_RANKS + 1).collect()
-        if len(rows) > MAX_RANKS:
-            raise ValueError(f"a rank table has at most {MAX_RANKS} entries")
+        size = ranks.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("token_bytes")).alias("bytes")).first()
+        if size.n > MAX_RANKS or (size.bytes or 0) > MAX_RANK_BYTES:
+            raise ValueError(f"a rank table has at most {MAX_RANKS} entries and {MAX_RANK_BYTES} bytes")
+        rows = ranks.collect()
         self.ranks = ranks
         self._table = spark.sparkContext.broadcast({bytes(r.token_bytes): r.token_id for r in rows})
         self._pattern = pattern

@@ -25,9 +25,9 @@ def to_words(lines: DataFrame, drop_empty: bool = False) -> DataFrame:
 def to_sentences(lines: DataFrame, pattern: str = T.SENTENCE_BREAK) -> DataFrame:
     """(keys, sentence_idx, sentence)"""
     keys = [c for c in lines.columns if c != "line"]
-    return lines.select(
-        *keys, F.posexplode(T.split_pattern(F.col("line"), pattern)).alias("sentence_idx", "sentence")
-    )
+    # A column of its own lets Spark split each line once; inside the generator it would split per use.
+    parts = lines.select(*keys, T.split_pattern(F.col("line"), pattern).alias("parts"))
+    return parts.select(*keys, F.posexplode("parts").alias("sentence_idx", "sentence"))
 
 
 def sentence_extent(lines: DataFrame, pattern: str = T.SENTENCE_BREAK) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from itertools import accumulate
 
 import pyarrow as pa
@@ -10,6 +11,9 @@ from pyspark.sql import functions as F
 
 from wordloom.session import stage_table
 
+# Fixed value: how Spark names the file of each range.
+PART_NUMBER = re.compile(r"part-(\d+)")
+
 
 def with_position(df: DataFrame, order: list[Column], name: str, start: int = 1) -> DataFrame:
     """Add the position of each row in ``order``, which must be total.
@@ -21,11 +25,15 @@ def with_position(df: DataFrame, order: list[Column], name: str, start: int = 1)
     """
     ordered = stage_table(df.orderBy(*order), "ordered")
     meta = F.col("_metadata")
-    part = F.regexp_extract(meta.getField("file_name"), r"part-(\d+)", 1).cast("int")
-    placed = ordered.select(*ordered.columns, part.alias("_part"), meta.getField("row_index").alias("_place"))
-    sizes = sorted(placed.groupBy("_part").count().collect())
-    before = list(accumulate((rows for _, rows in sizes), initial=start))[: len(sizes)]
-    offsets = pa.table({"_part": pa.array([p for p, _ in sizes], pa.int32()), "_before": pa.array(before, pa.int64())})
-    return placed.join(F.broadcast(df.sparkSession.createDataFrame(offsets)), "_part").select(
+    placed = ordered.select(
+        *ordered.columns, meta.getField("file_name").alias("_file"), meta.getField("row_index").alias("_place")
+    )
+    sizes = placed.groupBy("_file").count().collect()
+    sizes.sort(key=lambda r: int(PART_NUMBER.match(r["_file"]).group(1)))
+    before = list(accumulate((r["count"] for r in sizes), initial=start))[: len(sizes)]
+    offsets = pa.table(
+        {"_file": pa.array([r["_file"] for r in sizes], pa.string()), "_before": pa.array(before, pa.int64())}
+    )
+    return placed.join(F.broadcast(df.sparkSession.createDataFrame(offsets)), "_file").select(
         *ordered.columns, (F.col("_before") + F.col("_place")).alias(name)
     )

@@ -177,6 +177,9 @@ ORACLES: dict[str, str] = {
         SELECT word, coalesce(array_to_string(list_transform(regexp_extract_all(hex(encode(word)), '..'),
           lambda h: CAST('0x' || h AS INTEGER)), ';'), '') AS ids_str
         FROM (SELECT DISTINCT word FROM words)""",
+    "decode_bytes": f"""{_with(LINES, SENTENCES, BYTE_IDS)}
+        SELECT token_id, CASE WHEN token_id < 128 THEN chr(token_id) ELSE chr(65533) END AS token
+        FROM (SELECT DISTINCT unnest(token_ids) AS token_id FROM ids)""",
     "sliding_windows_bytes": f"{_with(LINES, SENTENCES, BYTE_IDS, WINDOWS)} SELECT {ORDER_NO}, {VEC_STR} FROM samples",
     "sentence_token_ids": f"""{TO_IDS}
         SELECT doc_id, line_no, sentence_idx, array_to_string(token_ids, ';') AS ids_str FROM ids""",

@@ -207,6 +207,13 @@ def decode_bpe(spark, sf):
     return encoder.decode(used)
 
 
+@query
+def decode_bytes(spark, sf):
+    encoder = _byte_encoder(spark)
+    used = encoder.sentence_token_ids(_sentences(spark, sf)).select(F.explode("token_ids").alias("token_id"))
+    return encoder.decode(used)
+
+
 @query
 def sliding_windows_bpe(spark, sf):
     return _rendered_vectors(_bpe_samples(spark, sf, _encoder(spark)))

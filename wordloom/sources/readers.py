@@ -11,6 +11,9 @@ from pyspark.sql.window import Window
 
 from wordloom.session import spread, stage_table
 
+#: Splits whose offsets are broadcast, a few hundred bytes each; above, they join by shuffle.
+MAX_SPLITS = 1_000_000
+
 
 def table(spark: SparkSession, path: str, *columns: str) -> DataFrame:
     """Columns of a Parquet table, spread over the cores by the first one if it is small."""
@@ -53,7 +56,10 @@ def text_files_with_offset(spark: SparkSession, path: str, prefix: str = "") ->
     running = lines.drop("file_size").mapInArrow(_running_place(), "file string, block long, line string, place long")
     offset = F.col("before") + F.col("place")
     line = F.col("line")
-    return running.join(stage_table(before, "splits"), ["file", "block"]).select(
+    splits = stage_table(before, "splits")
+    if splits.count() <= MAX_SPLITS:
+        splits = F.broadcast(splits)
+    return running.join(splits, ["file", "block"]).select(
         "file",
         F.when(offset > 0, offset + F.col("mark")).otherwise(offset).alias("offset"),
         F.when(line.endswith("\r"), F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line).alias("line"),
