@@ -20,7 +20,7 @@ def offsets_of(content):
     return found
 
 
-@pytest.mark.parametrize("split_bytes", [64, 1 << 27])
+@pytest.mark.parametrize("split_bytes", [400, 1 << 27])
 def test_offsets(spark, tmp_path, split_bytes):
     long = "".join(f"line {i} é™\n" for i in range(200)).encode()
     contents = {

@@ -45,7 +45,7 @@ def test_cases(frame, tokens, size, stride, expected):
 def test_against_model_for_many_shapes(spark):
     rows = [(n, list(range(1, n + 1))) for n in range(0, 31)]
     ids = spark.createDataFrame(rows, "doc_id long, token_ids array<int>")
-    for size in range(1, 12):
+    for size in (1, 2, 3, 5, 10, 11):
         parts = []
         for stride in range(1, 12):
             made = samples.sliding_windows(ids, size, stride, 9).withColumn("stride", F.lit(stride))

@@ -20,6 +20,10 @@ lines AS (
   FROM (SELECT doc_id, string_split_regex(regexp_replace(text, '(\r\n|\n|\r)\z', ''), '\r\n|[\r\n]') AS parts
         FROM documents WHERE text <> ''))"""
 
+LINES_ALL = LINES.replace("FROM documents", """FROM (
+          SELECT doc_id, text FROM documents UNION ALL SELECT conv_id, text FROM conversations
+          UNION ALL SELECT item_id, text FROM benchmark UNION ALL SELECT page_id, html FROM pages)""")
+
 
 def _word_list(text: str) -> str:
     return (
@@ -160,6 +164,7 @@ ORACLES: dict[str, str] = {
     "shard_assign": f"""SELECT CAST(doc_id % {SHARDS} AS INTEGER) AS shard_id, count(*) AS n_rows,
         CAST(sum(octet_length(encode(text))) AS BIGINT) AS n_bytes FROM documents GROUP BY ALL""",
     "word_count": f"{_with(LINES, WORDS)} SELECT word, count(*) AS n FROM words GROUP BY word",
+    "word_count_all": f"""{_with(LINES_ALL, WORDS)} SELECT word, count(*) AS n FROM words GROUP BY word""",
     "vocab_min_count": f"""{_with(LINES, WORDS)}
         SELECT word, count(*) AS n FROM words GROUP BY word HAVING count(*) >= {MIN_COUNT}""",
     "vocab_size": f"{_with(LINES, WORDS)} SELECT count(DISTINCT word) AS vocab_size FROM words",
@@ -229,6 +234,20 @@ ORACLES: dict[str, str] = {
         GROUP BY label, pos""",
     "nearest_words": f"{_with(NEAREST)} SELECT * FROM nearest",
     "neighbour_freq": f"{_with(NEAREST)} SELECT * FROM freq",
+    "embedding_merge": f"""{_with(NEAREST)},
+        named AS (
+          SELECT a.label AS token_id, b.label AS near_id, count(*) AS n
+          FROM nearest JOIN embeddings a USING (vec_id) JOIN embeddings b ON b.vec_id = near_id GROUP BY ALL),
+        top AS (
+          SELECT token_id, string_agg('label ' || near_id, ', ' ORDER BY rank) AS near_str
+          FROM (SELECT *, row_number() OVER (PARTITION BY token_id ORDER BY n DESC, near_id) AS rank FROM named QUALIFY rank <= 3)
+          GROUP BY token_id),
+        means AS (
+          SELECT label AS token_id, pos, CAST(avg(CAST(x AS DOUBLE)) AS FLOAT) AS mean
+          FROM (SELECT label, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos, unnest(embedding) AS x FROM embeddings)
+          GROUP BY ALL)
+        SELECT token_id, 'label ' || token_id AS token, pos, round(CAST(mean AS DOUBLE), 5) AS value, near_str
+        FROM means JOIN top USING (token_id)""",
     "neighbour_top3": f"""{_with(NEAREST)}
         SELECT label, near_id, CAST(row_number() OVER (PARTITION BY label ORDER BY n DESC, near_id) AS INTEGER) AS rank
         FROM freq QUALIFY rank <= 3""",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -140,6 +141,17 @@ def word_count(spark, sf):
     return counts.word_count(_words(spark, sf))
 
 
+@query
+def word_count_all(spark, sf):
+    """All text tables as one input, as files of one folder are."""
+    corpora = {"documents": "doc_id", "conversations": "conv_id", "benchmark": "item_id", "pages": "page_id"}
+    texts = [
+        readers.table(spark, f"{sf}/{name}.parquet", key, "html" if name == "pages" else "text").toDF("doc_id", "text")
+        for name, key in corpora.items()
+    ]
+    return counts.word_count(lines.to_words(lines.to_lines(reduce(DataFrame.unionAll, texts))))
+
+
 @query
 def vocab_min_count(spark, sf):
     return counts.word_count(_words(spark, sf), MIN_COUNT)
@@ -385,6 +397,19 @@ def neighbour_top3(spark, sf):
     return neighbours.most_frequent(_neighbour_counts(spark, sf), "label").drop("n")
 
 
+@query
+def embedding_merge(spark, sf):
+    """The final table from given vectors: labels as tokens, labels of the nearest vectors as neighbours."""
+    given = _embeddings(spark, sf)
+    labels = given.select(F.col("vec_id").alias("near_id"), F.col("label").alias("near_label"))
+    named = nearest_words(spark, sf).join(labels, "near_id").groupBy("vec_id").agg(F.collect_list("near_label").alias("near"))
+    messages = given.join(named, "vec_id").select(F.col("label").alias("token_id"), F.col("embedding").alias("vec"), "near")
+    names = given.select(F.col("label").alias("token_id")).distinct().withColumn("token", F.concat(F.lit("label "), "token_id"))
+    table = word2vec.embedding_table(messages, names)
+    positions = table.select("token_id", "token", F.posexplode("vec").alias("pos", "value"), F.array_join("near", ", ").alias("near_str"))
+    return positions.withColumn("value", F.round(F.col("value").cast("double"), 5))
+
+
 # Models: short settings, whole corpus
 
 MODEL = {"dim": 20, "epochs": 1, "window": SIZE}
