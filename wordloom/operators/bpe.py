@@ -1,14 +1,15 @@
 """Byte-pair encoding with a rank table given by the user.
 
 Encoding needs nothing but the rank table, whose size does not grow with the corpus, so it is a
-map-only step: an Arrow UDF over whole batches with the table broadcast and each task remembering
-the words it has met.
+map-only step: an Arrow UDF over whole batches with the table broadcast. Each distinct word of a
+batch is encoded once, and a task remembers the words of its earlier batches.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -86,19 +87,28 @@ class Encoder:
 
         def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             import numpy as np
+            import pyarrow.compute as pc
             import tiktoken
 
             codec = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table.value, special_tokens={})
             word_ids = lru_cache(memory)(codec.encode_ordinary)
             for batch in batches:
-                ends, flat = [0], []
-                for text in batch.to_pylist():
-                    if text:
-                        for word in text.split(" ") if per_sentence else (text,):
-                            flat.extend(word_ids(word))
-                    ends.append(len(flat))
-                yield pa.ListArray.from_arrays(
-                    pa.array(np.asarray(ends, dtype=np.int32)), pa.array(np.asarray(flat, dtype=np.int32))
-                )
+                texts = pc.fill_null(batch, "")
+                if per_sentence:
+                    lists = pc.split_pattern(texts, " ")
+                    words, row_ends = lists.flatten(), np.concatenate([[0], np.cumsum(pc.list_value_length(lists))])
+                else:
+                    words, row_ends = texts, np.arange(len(texts) + 1)
+                # Only the distinct words of the batch are encoded; their ids are then laid out by place.
+                coded = words.dictionary_encode()
+                which = coded.indices.to_numpy(zero_copy_only=False)
+                ids = [word_ids(word) for word in coded.dictionary.to_pylist()]
+                size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+                flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=size.sum())
+                begin = (np.cumsum(size) - size)[which]
+                length = size[which]
+                ends = np.concatenate([[0], np.cumsum(length)])
+                take = np.arange(ends[-1]) + np.repeat(begin - ends[:-1], length)
+                yield pa.ListArray.from_arrays(pa.array(ends[row_ends].astype(np.int32)), pa.array(flat[take]))
 
         return F.arrow_udf(encode, "array<int>")
