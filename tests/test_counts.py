@@ -76,3 +76,14 @@ def test_unknown_words_and_decoding(frame):
     assert [(r.doc_id, list(r.token_ids)) for r in made] == [(1, [1, 2])]
     ids = frame([(2,), (1,), (2,), (99,)], "token_id int")
     assert sorted(map(tuple, dictionary.decode(ids, known).collect())) == [(1, "a"), (2, "b")]
+
+
+def test_large_input_is_shuffled_once(spark):
+    tokens = spark.range(0, 1000, 1, 64).select(
+        F.xxhash64("id").alias("doc_id"), F.lit(0).alias("tok_idx"), F.concat(F.lit("w"), F.col("id") % 7).alias("word")
+    )
+    known = dictionary.build_dictionary(tokens)
+    plan = dictionary.sentence_token_ids(tokens, known)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+    cold = dictionary.sentence_token_ids(tokens, known, 300)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in cold and "partial_collect_list" in cold

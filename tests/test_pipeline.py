@@ -2,8 +2,8 @@ import math
 
 import pytest
 
-from wordloom.operators import bpe, lines
-from wordloom.plans.pipeline import Settings, run
+from wordloom.operators import bpe, lines, samples, word2vec
+from wordloom.plans.pipeline import Settings, export_text, run
 from wordloom.sources import readers
 
 TEXT = "the cat sat on the mat! the dog, the cat and\n\nthe mat\r\nA cat on a mat and a dog on a mat in the sun all day long!"
@@ -34,6 +34,20 @@ def test_three_stages(spark, frame, tmp_path, with_encoder):
     assert ({"c", "t"} if with_encoder else {"cat", "ma", "the"}) <= names
 
 
+def test_text_output(spark, frame, tmp_path):
+    written = run(corpus(frame), str(tmp_path / "out"), SHORT)
+    texts = export_text(spark, written, str(tmp_path / "text"))
+    lines_of = {n: [r.value for r in spark.read.text(p).collect()] for n, p in texts.items()}
+    assert lines_of["wordCount.csv"][0].startswith(",6,") and '"dog,",6,' in "".join(lines_of["wordCount.csv"])
+    keys = [tuple(map(int, x.split("\t")[0].split("-"))) for x in lines_of["samples"]]
+    assert keys == sorted(keys) and all(len(x.split("\t")[1].split(";")) == 6 for x in lines_of["samples"])
+    back = samples.from_text(spark.read.text(texts["samples"]))
+    assert {tuple(r.vec) for r in back.collect()} == {tuple(r.vec) for r in spark.read.parquet(written["samples"]).collect()}
+    assert word2vec.fit_vectors(back, dim=4, epochs=1, window=3, partitions=1).count() > 5
+    table = spark.read.csv(texts["embeddings.csv"], schema="token string, vec string, near string", escape='"')
+    assert all(len(r.vec.split(";")) == 5 and len(r.near.split(", ")) >= 3 for r in table.collect())
+
+
 def test_nothing_to_count(spark, frame, tmp_path):
     empty = lines.to_lines(frame([(1, "")], "doc_id long, text string"))
     written = run(empty, str(tmp_path / "out"), SHORT, bpe.Encoder(bpe.byte_ranks(spark)))

@@ -77,6 +77,8 @@ def test_wrong_shape_and_large_id(frame):
         V.windows(F.col("x"), 1, 0)
     with pytest.raises(Exception, match="too large"):
         cut(frame, [1 << 25], 3, 1)
+    rows = frame([(0, [(1 << 24) + 1])], "doc_id long, token_ids array<int>")
+    assert samples.sliding_windows(rows, 2, 1, 0, "double").first().vec == [float((1 << 24) + 1), 0.0]
 
 
 def test_pads_are_told_by_place(frame):

@@ -14,20 +14,24 @@ KEY = ["doc_id", "line_no", "sentence_idx", "sample_idx"]
 EXACT_FLOAT = 1 << 24
 
 
-def sliding_windows(sentence_ids: DataFrame, size: int = 10, stride: int = 3, pad: int = 0) -> DataFrame:
-    """(keys, sample_idx, n_tokens, vec): the ids of each window as floats, padded to ``size``.
+def sliding_windows(
+    sentence_ids: DataFrame, size: int = 10, stride: int = 3, pad: int = 0, number: str = "float"
+) -> DataFrame:
+    """(keys, sample_idx, n_tokens, vec): the ids of each window as numbers, padded to ``size``.
 
     ``n_tokens`` tells the ids from the pads by place, since the pad value may be an id as well.
+    A dictionary of more than 2^24 words needs ``number="double"``; an id that single precision
+    would change raises an error.
     """
     keys = [c for c in sentence_ids.columns if c != "token_ids"]
     cut = sentence_ids.select(
         *keys, F.posexplode(V.windows(F.col("token_ids"), size, stride)).alias("sample_idx", "ids")
     )
-    padded = V.pad_right(F.col("ids"), size, F.lit(pad))
-    exact = F.when(F.array_max("ids") <= EXACT_FLOAT, padded.cast("array<float>")).otherwise(
-        F.raise_error(F.lit("a token id is too large for single precision"))
-    )
-    return cut.select(*keys, "sample_idx", F.size("ids").alias("n_tokens"), exact.alias("vec"))
+    vec = V.pad_right(F.col("ids"), size, F.lit(pad)).cast(f"array<{number}>")
+    if number == "float":
+        too_large = F.raise_error(F.lit("a token id is too large for single precision"))
+        vec = F.when(F.array_max("ids") <= EXACT_FLOAT, vec).otherwise(too_large)
+    return cut.select(*keys, "sample_idx", F.size("ids").alias("n_tokens"), vec.alias("vec"))
 
 
 def sample_key(keys: list[str] = KEY) -> Column:
@@ -48,6 +52,12 @@ def parse(lines: DataFrame) -> DataFrame:
     )
 
 
+def from_text(lines: DataFrame) -> DataFrame:
+    """(sample_key, n_tokens, vec) from text lines, ready to fit on. Text does not tell pads from ids."""
+    vec = F.transform("tokens", lambda t: t.try_cast("float"))
+    return parse(lines).select("sample_key", F.size("tokens").alias("n_tokens"), vec.alias("vec"))
+
+
 def first_per_key(samples: DataFrame, keys: list[str]) -> DataFrame:
     """One row per key, for input that may repeat rows. Repeats collapse in each task first."""
     others = [c for c in samples.columns if c not in keys]

@@ -47,13 +47,18 @@ def write_table(df: DataFrame, path: str, form: str = "parquet", partition_by: t
 
 
 def publish(
-    df: DataFrame, path: str, order: list[str], form: str = "parquet", single_file_rows: int = SINGLE_FILE_ROWS
+    df: DataFrame,
+    path: str,
+    order: list[str],
+    form: str = "parquet",
+    columns: list[str | Column] | None = None,
+    single_file_rows: int = SINGLE_FILE_ROWS,
 ) -> None:
-    """Write in order: file names sort as the rows do.
+    """Write ``columns`` (all by default) in order: file names sort as the rows do.
 
     A result of at most ``single_file_rows`` becomes one file; a larger one stays in range-sorted
     parts, so that no task has to see all of it.
     """
-    small = df.limit(single_file_rows + 1).count() <= single_file_rows
+    small = df.select(order).limit(single_file_rows + 1).count() <= single_file_rows
     ordered = df.coalesce(1).sortWithinPartitions(*order) if small else df.orderBy(*order)
-    write_table(ordered, path, form)
+    write_table(ordered.select(*(columns or df.columns)), path, form)
