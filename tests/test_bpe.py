@@ -1,10 +1,12 @@
 import base64
+from pathlib import Path
 
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
 from wordloom.operators import bpe
+from wordloom.plans.queries import QUERIES, RANKS_FILE
 
 TEXT = ["hello world", " a  b ", "", "don't é日本 12345", "hello hello", "x" * 300, "tab\there"]
 
@@ -57,3 +59,16 @@ def test_too_large_a_table(spark, monkeypatch):
     monkeypatch.setattr(bpe, "MAX_RANKS", 100)
     with pytest.raises(ValueError):
         bpe.Encoder(bpe.byte_ranks(spark))
+
+
+def test_words_of_the_corpus_equal_another_codec(spark):
+    """The same vocabulary in another library, on every word of the smallest corpus."""
+    tokenizers = pytest.importorskip("tokenizers")
+    folder = Path(RANKS_FILE).parent
+    if not Path(RANKS_FILE).exists():
+        pytest.skip("no public rank table")
+    other = tokenizers.Tokenizer.from_file(str(folder / "byte_bpe_50k.json"))
+    other.encode_special_tokens = True
+    rows = QUERIES["encode_bpe"](spark, "/root/testdata/sf0.001").collect()
+    expected = other.encode_batch([r.word for r in rows], add_special_tokens=False)
+    assert len(rows) > 1000 and [list(r.token_ids) for r in rows] == [e.ids for e in expected]

@@ -31,6 +31,12 @@ def test_positions_over_many_partitions(spark):
     found = with_position(rows, [F.desc("v")], "p").collect()
     assert sorted((r.p, r.v) for r in found) == [(i + 1, 4999 - i) for i in range(5000)]
     assert with_position(rows.where("v < 0"), [F.asc("v")], "p").isEmpty()
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 100)
+    try:
+        found = with_position(rows, [F.asc("v")], "p", start=0).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    assert all(r.p == r.v for r in found) and len(found) == 5000
 
 
 def skewed_words():

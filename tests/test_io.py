@@ -29,6 +29,8 @@ def test_offsets(spark, tmp_path, split_bytes):
         "shard_2": BOM + long,
         "shard_3": b"one\n",
         "shard_4": b"",
+        "shard_5": b"old\rstyle\r\r\nmixed\r\n\r\rend\r",
+        "shard_6": b"\r\n\r\n",
         "other": b"not read\n",
     }
     for name, content in contents.items():

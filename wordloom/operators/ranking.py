@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 
 from wordloom.session import stage_table
 
-# Fixed value: how Spark names the file of each range.
+# Fixed value: how Spark names the files of each range.
 PART_NUMBER = re.compile(r"part-(\d+)")
 
 
 def with_position(df: DataFrame, order: list[Column], name: str, start: int = 1) -> DataFrame:
     """Add the position of each row in ``order``, which must be total.
 
-    The rows are range-sorted and written to the checkpoint folder, one file per range. A row's
+    The rows are range-sorted and written to the checkpoint folder range by range. A row's
     position is its place in its file plus the rows of the files before it, so it is the same
     however the files are read later. Only one count per file reaches the driver, and no window
     over the whole table is needed.
@@ -29,7 +29,7 @@ def with_position(df: DataFrame, order: list[Column], name: str, start: int = 1)
         *ordered.columns, meta.getField("file_name").alias("_file"), meta.getField("row_index").alias("_place")
     )
     sizes = placed.groupBy("_file").count().collect()
-    sizes.sort(key=lambda r: int(PART_NUMBER.match(r["_file"]).group(1)))
+    sizes.sort(key=lambda r: (int(PART_NUMBER.match(r["_file"]).group(1)), r["_file"]))
     before = list(accumulate((r["count"] for r in sizes), initial=start))[: len(sizes)]
     offsets = pa.table(
         {"_file": pa.array([r["_file"] for r in sizes], pa.string()), "_before": pa.array(before, pa.int64())}

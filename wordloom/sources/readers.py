@@ -30,8 +30,9 @@ def text_files_with_offset(spark: SparkSession, path: str, prefix: str = "") ->
     """(file, offset, line): each line with the byte offset of its start in its file.
 
     A split adds up the bytes of its own lines while it streams them; the bytes of the splits
-    before it come from a small table with one row per split. Lines end at ``\\n`` or ``\\r\\n``. The
-    three bytes of a byte-order mark, which the reader removes, show as missing from the file's size.
+    before it come from a small table with one row per split. Lines end at ``\\n``, ``\\r\\n`` or
+    ``\\r``; a file without any ``\\n`` is one split. The three bytes of a byte-order mark, which the
+    reader removes, show as missing from the file's size.
     """
     reader = spark.read.option("pathGlobFilter", f"{prefix}*") if prefix else spark.read
     scan = reader.option("lineSep", "\n").text(path)
@@ -53,21 +54,22 @@ def text_files_with_offset(spark: SparkSession, path: str, prefix: str = "") ->
         F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("before"),
         F.when(missing >= 2, 3).otherwise(0).alias("mark"),
     )
-    running = lines.drop("file_size").mapInArrow(_running_place(), "file string, block long, line string, place long")
+    running = lines.drop("file_size", "bytes").mapInArrow(
+        _running_place(), "file string, block long, line string, place long"
+    )
     offset = F.col("before") + F.col("place")
-    line = F.col("line")
     splits = stage_table(before, "splits")
     if splits.count() <= MAX_SPLITS:
         splits = F.broadcast(splits)
     return running.join(splits, ["file", "block"]).select(
         "file",
         F.when(offset > 0, offset + F.col("mark")).otherwise(offset).alias("offset"),
-        F.when(line.endswith("\r"), F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line).alias("line"),
+        "line",
     )
 
 
 def _running_place():
-    """A streaming task: the bytes before each line in its own split."""
+    """A streaming task: cuts rows at ``\\r`` and gives the bytes before each line in its own split."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -75,11 +77,22 @@ def _running_place():
 
         last, carried = None, 0
         for batch in batches:
-            rows = batch.num_rows
-            if rows == 0:
+            if batch.num_rows == 0:
                 continue
-            file, block = batch.column("file"), batch.column("block").to_numpy()
-            size = batch.column("bytes").to_numpy()
+            pieces = pc.split_pattern(batch.column("line"), "\r")
+            of_row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(pieces).to_numpy())
+            line = pieces.flatten()
+            size = pc.binary_length(line).to_numpy() + 1
+            # An empty piece after the last mark of a row is the rest of a two-byte terminator.
+            closes = np.append(of_row[1:] != of_row[:-1], True)
+            opens = np.insert(closes[:-1], 0, True)
+            rest = closes & ~opens & (size == 1)
+            size[:-1] += rest[1:]
+            kept = ~rest
+            line, of_row, size = line.filter(pa.array(kept)), of_row[kept], size[kept].astype(np.int64)
+
+            file, block = batch.column("file").take(pa.array(of_row)), batch.column("block").to_numpy()[of_row]
+            rows = len(of_row)
             fresh = np.ones(rows, dtype=bool)
             fresh[0] = (file[0].as_py(), block[0]) != last
             other_file = pc.not_equal(file.slice(1), file.slice(0, rows - 1)).to_numpy(zero_copy_only=False)
@@ -89,7 +102,7 @@ def _running_place():
             place = begin - np.where(opened >= 0, begin[opened], -carried)
             last, carried = (file[rows - 1].as_py(), block[-1]), int(place[-1] + size[-1])
             yield pa.record_batch(
-                [file, batch.column("block"), batch.column("line"), pa.array(place, pa.int64())],
+                [file, pa.array(block, pa.int64()), line, pa.array(place, pa.int64())],
                 names=["file", "block", "line", "place"],
             )
 
