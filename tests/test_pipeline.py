@@ -1,7 +1,9 @@
+import base64
 import math
 
 import pytest
 
+from wordloom.__main__ import main
 from wordloom.operators import bpe, lines, samples, word2vec
 from wordloom.plans.pipeline import Settings, export_text, run
 from wordloom.sources import readers
@@ -67,3 +69,20 @@ def test_from_files(spark, tmp_path):
     keys = {r.sample_key.rsplit("/", 1)[-1] for r in spark.read.parquet(written["samples"]).collect()}
     third = TEXT.encode().index(b"A cat")
     assert {"book.txt-0-0-0", "book.txt-0-1-0", f"book.txt-{third}-0-0"} <= keys
+
+
+def test_command_line(spark, frame, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "shard_0").write_text(TEXT)
+    (tmp_path / "in" / "skipped").write_text("unseen")
+    short = ["--window", "6", "--stride", "2", "--dim", "4", "--epochs", "1", "--partitions", "1", "--n-models", "1"]
+    written = main([str(tmp_path / "in"), str(tmp_path / "out"), "--prefix", "shard_", "--text", *short])
+    texts = {"text/wordCount.csv", "text/samples", "text/embeddings.csv"}
+    assert set(written) == {"dictionary", "word_count", "samples", "embeddings"} | texts
+    assert spark.read.parquet(written["word_count"]).where("word = 'unseen'").isEmpty()
+    assert len(spark.read.parquet(written["embeddings"]).first().vec) == 4
+    frame([(1, TEXT)], "doc_id long, text string").write.parquet(str(tmp_path / "table"))
+    ranks = tmp_path / "ranks"
+    ranks.write_bytes(b"".join(base64.b64encode(bytes([i])) + b" %d\n" % i for i in range(256)))
+    written = main([str(tmp_path / "table"), str(tmp_path / "out2"), "--table", "--ranks", str(ranks), "--words", "50k", *short])
+    assert set(written) == {"word_count", "samples", "embeddings"}
