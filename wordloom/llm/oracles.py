@@ -15,7 +15,7 @@ f AS (
   SELECT doc_id, line, length(line) AS n, regexp_matches(line, '[^\x20\x09-\x0D]') AS worded,
     NOT regexp_matches(line, '[^\x20\x09-\x0D]') OR NOT (
       14 * (length(line) - length(regexp_replace(line, '[#*$%&|<>]', '', 'g'))) > length(line)
-      OR NOT regexp_matches(line, '[.!?…:;"”’»)\]][\x20\x09-\x0D]*$')
+      OR NOT regexp_matches(line, '[.!?…:;"”’»)\]](?:[\x20\x09-\x0D]|$)')
       OR regexp_matches(line, '!![^!]+!!')
       OR regexp_matches(line, '[|»›·>][^|»›·>]+[|»›·>]')
       OR regexp_matches(line, '(?i)\b(?:all rights reserved|accept (?:all )?cookies|use[sd]? cookies|cookie policy|privacy policy|terms of (?:use|service)|subscribe to|sign up for|log in to|enable javascript|javascript is|click here|read more|share this|powered by|skip to (?:main )?content|back to top|lorem ipsum)\b')

@@ -20,7 +20,8 @@ MIN_LEFT_PERCENT = 60
 #: A line with more symbols than one in so many characters is layout, not prose.
 SYMBOL_EVERY = 14
 BLANKS = " \t\n\x0b\f\r"
-ENDS = r"""[.!?…:;"”’»)\]][\x20\x09-\x0D]*$"""
+#: The end of a sentence anywhere in a line: a long line that was cut off is still prose.
+ENDS = r"""[.!?…:;"”’»)\]](?:[\x20\x09-\x0D]|$)"""
 SHOUTS = r"!![^!]+!!"
 NAVIGATION = r"[|»›·>][^|»›·>]+[|»›·>]"
 BOILERPLATE = (
