@@ -25,6 +25,7 @@ PARTS = 256
 WINDOW = 1 << 16
 
 KEY = "source_key"
+NO_SOURCE = "\U0010ffff"
 
 
 def text_size(text: str) -> Column:
@@ -112,7 +113,7 @@ def _choose(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int = SEED) -> DataFrame:
-    """(doc_id, size, source_size, target, repeats, taken) per row of ``docs`` (doc_id, text, source, any other columns).
+    """(doc_id, source, size, source_size, target, repeats, taken) per row of ``docs`` (doc_id, text, source, any other columns).
 
     ``repeats`` is how often the mix holds the text, 0 to 3, and ``taken`` its words times that. A null
     or empty text has size 0 and is taken as often as its source is whole; a null source is a source of
@@ -123,7 +124,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int = SEED)
     key = F.when(F.col("source").isNotNull(), F.concat(F.lit("="), F.col("source").cast("string")))
     mark = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("text"))
     rows = docs.select("doc_id", key.alias(KEY), text_size("text").alias("size"), mark.alias("mark"))
-    rows = stage_table(rows.withColumn(KEY, F.coalesce(KEY, F.lit("\U0010ffff"))).withColumn("part", F.pmod("mark", F.lit(PARTS))), "mix")
+    rows = stage_table(rows.withColumn(KEY, F.coalesce(KEY, F.lit(NO_SOURCE))).withColumn("part", F.pmod("mark", F.lit(PARTS))), "mix")
     parts = rows.groupBy(KEY, "size", "part").agg(F.count("*").alias("n"))
     lengths = parts.groupBy(KEY, "size").agg(F.sum("n").alias("n"))
     sources = targets(lengths.groupBy(KEY).agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights)
@@ -133,4 +134,5 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int = SEED)
     shares = shares.join(sources, KEY).select(KEY, "size", "part", "whole", "quota", "source_size", "target")
     rank = F.row_number().over(Window.partitionBy(KEY, "size", "part").orderBy("mark", "doc_id"))
     chosen = rows.join(shares, [KEY, "size", "part"]).withColumn("repeats", F.col("whole") + (rank <= F.col("quota")).cast("long"))
-    return chosen.select("doc_id", "size", "source_size", "target", "repeats", (F.col("size") * F.col("repeats")).alias("taken"))
+    source = F.when(F.col(KEY) != NO_SOURCE, F.substring(KEY, 2, 1 << 30)).alias("source")
+    return chosen.select("doc_id", source, "size", "source_size", "target", "repeats", (F.col("size") * F.col("repeats")).alias("taken"))
