@@ -1,7 +1,8 @@
 """URL filter: fixed rules first, gradient-boosted trees on lexical features for the rest.
 
 Features are column expressions on the URL alone: lengths, depth, shares of characters, entropy,
-parameter counts, and the share of blocked URLs among labelled ones with the same host suffix.
+parameter counts, and the share of blocked URLs among labelled ones with the same host suffix or first
+path part.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 #: Most labelled URLs a model is trained from: those with the smallest hashes.
 MAX_LABELLED = 10_000
 TREES, DEPTH, SEED = 20, 4, 42
-#: Labelled URLs that a suffix seems to have besides its own, at the mean rate.
+#: Labelled URLs that a suffix or path part seems to have besides its own, at the mean rate.
 PRIOR = 10.0
 
 # The rules as (verdict, host and path).
@@ -47,7 +48,8 @@ def _suffix(host: Column, labels: int) -> Column:
     return F.array_join(F.slice(F.reverse(F.split(host, r"\.")), 1, labels), ".")
 
 
-SUFFIXES = (1, 2, 3)
+#: What labelled shares are kept for: the host's last one, two and three labels, and the path's first part.
+PARTS = ("suffix_1", "suffix_2", "suffix_3", "segment")
 LEXICAL = ("length", "host_length", "path_length", "depth", "digits", "upper", "hyphens", "dots", "entropy", "parameters", "secure", "fragment", "longest")
 
 
@@ -74,26 +76,27 @@ def lexical(rows: DataFrame) -> DataFrame:
         "fragment": F.contains(u, F.lit("#")).cast("double"),
         "longest": F.array_max(F.transform(F.split("path", "[/._-]"), lambda s: F.length(s))).cast("double"),
     }
-    return rows.withColumns(values | {f"suffix_{k}": _suffix(F.col("host"), k) for k in SUFFIXES})
+    parts = {name: _suffix(F.col("host"), int(name[-1])) for name in PARTS if name[-1].isdigit()}
+    return rows.withColumns(values | parts | {"segment": F.regexp_extract("path", "^/([^/]*)/", 1)})
 
 
 @dataclass
 class UrlModel:
-    """Trees and, per suffix length, the labelled counts (suffix, n, blocked); ``trees`` is None without labels."""
+    """Trees and, per part, the labelled counts (part, n, blocked); ``trees`` is None without labels."""
 
     trees: GBTClassificationModel | None
-    suffixes: dict[int, DataFrame]
+    parts: dict[str, DataFrame]
     rate: float
 
     def features(self, rows: DataFrame, own: bool = False) -> DataFrame:
-        """``own`` leaves a labelled row itself out of its suffix's counts."""
-        for k, counts in self.suffixes.items():
+        """``own`` leaves a labelled row itself out of its parts' counts."""
+        for part, counts in self.parts.items():
             less, label = (F.lit(1.0), F.col("label")) if own else (F.lit(0.0), F.lit(0.0))
-            rows = rows.join(F.broadcast(counts), f"suffix_{k}", "left")  # at most MAX_LABELLED rows
+            rows = rows.join(F.broadcast(counts), part, "left")  # at most MAX_LABELLED rows
             known = F.coalesce(F.col("n") - less, F.lit(0.0))
-            rows = rows.withColumn(f"rate_{k}", (F.coalesce(F.col("blocked") - label, F.lit(0.0)) + PRIOR * self.rate) / (known + PRIOR))
-            rows = rows.withColumn(f"seen_{k}", F.log1p(known)).drop("n", "blocked")
-        names = [*LEXICAL, *(f"{name}_{k}" for name in ("rate", "seen") for k in self.suffixes)]
+            rows = rows.withColumn(f"rate_{part}", (F.coalesce(F.col("blocked") - label, F.lit(0.0)) + PRIOR * self.rate) / (known + PRIOR))
+            rows = rows.withColumn(f"seen_{part}", F.log1p(known)).drop("n", "blocked")
+        names = [*LEXICAL, *(f"{name}_{part}" for name in ("rate", "seen") for part in self.parts)]
         return VectorAssembler(inputCols=names, outputCol="features").transform(rows)
 
     def block_probability(self, rows: DataFrame) -> DataFrame:
@@ -119,10 +122,8 @@ def train(labelled: DataFrame) -> UrlModel:
     host, path = host_and_path("url")
     frame = lexical(spark.createDataFrame(few, "url string, label double").coalesce(1).select("url", "label", host.alias("host"), path.alias("path")))
     rate = sum(label for _, label in few) / len(few)
-    counts = {
-        k: spark.createDataFrame(frame.groupBy(f"suffix_{k}").agg(F.count("*").cast("double").alias("n"), F.sum("label").alias("blocked")).collect(), f"suffix_{k} string, n double, blocked double")
-        for k in SUFFIXES
-    }
+    per_part = {part: frame.groupBy(part).agg(F.count("*").cast("double").alias("n"), F.sum("label").alias("blocked")).collect() for part in PARTS}  # at most MAX_LABELLED rows
+    counts = {part: spark.createDataFrame(found, f"{part} string, n double, blocked double") for part, found in per_part.items()}
     model = UrlModel(None, counts, rate)
     ready = model.features(frame, own=True).select("features", "label").coalesce(1)
     model.trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, checkpointInterval=-1).fit(ready)
