@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,13 +32,39 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_staged: ContextVar[list[str] | None] = ContextVar("staged", default=None)
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path in its form."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Removes on leaving what ``stage_table`` has written inside, for work whose results are stored elsewhere."""
+    token = _staged.set(paths := [])
+    try:
+        yield
+    finally:
+        _staged.reset(token)
+        for path in paths:
+            files, at = file_system(spark, path)
+            files.delete(at, True)
+
+
 def stage_table(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as a Parquet table in the checkpoint folder and read it back.
 
     Used where several later jobs read the same rows, or only some columns or partitions of them.
+    Within ``staging`` the table is removed at the end; else it stays as long as the folder does,
+    since the result may be read at any later time.
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if (paths := _staged.get()) is not None:
+        paths.append(path)
     df.write.partitionBy(*(partition_by or [])).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -11,8 +11,10 @@ from pyspark.sql.window import Window
 
 from wordloom.session import spread, stage_table
 
-#: Splits whose offsets are broadcast, a few hundred bytes each; above, they join by shuffle.
-MAX_SPLITS = 1_000_000
+#: Bytes of file names and offsets that are broadcast; above, splits join by shuffle.
+MAX_SPLIT_BYTES = 64 << 20
+#: Endings of files that Spark decompresses: their offsets would not be those of the file.
+COMPRESSED = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate", ".xz")
 
 
 def table(spark: SparkSession, path: str, *columns: str) -> DataFrame:
@@ -32,10 +34,13 @@ def text_files_with_offset(spark: SparkSession, path: str, prefix: str = "") ->
     A split adds up the bytes of its own lines while it streams them; the bytes of the splits
     before it come from a small table with one row per split. Lines end at ``\\n``, ``\\r\\n`` or
     ``\\r``; a file without any ``\\n`` is one split. The three bytes of a byte-order mark, which the
-    reader removes, show as missing from the file's size.
+    reader removes, show as missing from the file's size. Compressed files are refused.
     """
     reader = spark.read.option("pathGlobFilter", f"{prefix}*") if prefix else spark.read
     scan = reader.option("lineSep", "\n").text(path)
+    packed = [name for name in scan.inputFiles() if name.lower().endswith(COMPRESSED)]
+    if packed:
+        raise ValueError(f"byte offsets need uncompressed files; {len(packed)} are not, such as {packed[0]}")
     meta = F.col("_metadata")
     lines = scan.select(
         meta.getField("file_path").alias("file"),
@@ -59,7 +64,7 @@ def text_files_with_offset(spark: SparkSession, path: str, prefix: str = "") ->
     )
     offset = F.col("before") + F.col("place")
     splits = stage_table(before, "splits")
-    if splits.count() <= MAX_SPLITS:
+    if (splits.agg(F.sum(F.octet_length("file") + 32)).first()[0] or 0) <= MAX_SPLIT_BYTES:
         splits = F.broadcast(splits)
     return running.join(splits, ["file", "block"]).select(
         "file",

@@ -2,24 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-#: Rows a single-file output may have; larger results stay in ordered parts.
-SINGLE_FILE_ROWS = 100_000
-
-
-def csv_line(*columns: str) -> Column:
-    """One CSV line: fields with a comma, quote or line break are quoted, quotes doubled."""
-
-    def field(name: str) -> Column:
-        text = F.coalesce(F.col(name).cast("string"), F.lit(""))
-        quoted = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
-        return F.when(text.rlike('[,"\\r\\n]'), quoted).otherwise(text)
-
-    return F.concat_ws(",", *[field(c) for c in columns])
-
+from wordloom.session import file_system
 
 def as_text(df: DataFrame, separator: str = ";") -> DataFrame:
     """Arrays joined to text, for the text formats."""
@@ -33,17 +22,37 @@ def as_text(df: DataFrame, separator: str = ";") -> DataFrame:
 
 
 def write_table(df: DataFrame, path: str, form: str = "parquet", partition_by: tuple[str, ...] = ()) -> None:
-    """Write as ``parquet``, ``csv`` or ``tsv``, replacing what is there."""
-    if form == "parquet":
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-        return
+    """Write as ``parquet``, ``csv`` or ``tsv``; what is there is replaced once the new table is complete.
+
+    The table is written to a sibling folder first. A job that fails leaves the old one as it was.
+    """
     separators = {"csv": ",", "tsv": "\t"}
-    if form not in separators:
+    if form != "parquet" and form not in separators:
         raise ValueError(f"unknown format {form!r}")
-    as_text(df).write.mode("overwrite").partitionBy(*partition_by).csv(
-        path, sep=separators[form], quote='"', escape='"', emptyValue="",
-        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-    )
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    new, old = f"{path.rstrip('/')}.new-{mark}", f"{path.rstrip('/')}.old-{mark}"
+    files, target = file_system(spark, path)
+    _, fresh = file_system(spark, new)
+    try:
+        if form == "parquet":
+            df.write.partitionBy(*partition_by).parquet(new)
+        else:
+            # the writer quotes fields that open with its comment character, a number sign unless set
+            as_text(df).write.partitionBy(*partition_by).option("comment", "\u0001").csv(
+                new, sep=separators[form], quote='"', escape='"', emptyValue="",
+                ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+            )
+    except Exception:
+        files.delete(fresh, True)
+        raise
+    _, aside = file_system(spark, old)
+    replaced = files.exists(target)
+    if replaced and not files.rename(target, aside):
+        raise OSError(f"{path} can't be moved aside; the new table is {new}")
+    if not files.rename(fresh, target):
+        raise OSError(f"{new} can't be moved to {path}")
+    if replaced:
+        files.delete(aside, True)
 
 
 def publish(
@@ -52,13 +61,12 @@ def publish(
     order: list[str],
     form: str = "parquet",
     columns: list[str | Column] | None = None,
-    single_file_rows: int = SINGLE_FILE_ROWS,
+    single_file: bool = False,
 ) -> None:
     """Write ``columns`` (all by default) in order: file names sort as the rows do.
 
-    A result of at most ``single_file_rows`` becomes one file; a larger one stays in range-sorted
-    parts, so that no task has to see all of it.
+    The rows stay in range-sorted parts, so that no task has to see all of them; ``single_file`` sorts
+    them in one task into one file, for results that the caller knows to be small.
     """
-    small = df.select(order).limit(single_file_rows + 1).count() <= single_file_rows
-    ordered = df.coalesce(1).sortWithinPartitions(*order) if small else df.orderBy(*order)
+    ordered = df.coalesce(1).sortWithinPartitions(*order) if single_file else df.orderBy(*order)
     write_table(ordered.select(*(columns or df.columns)), path, form)
