@@ -55,7 +55,7 @@ def test_shards_are_even_and_whole(spark):
 
 
 def test_token_ids_from_text(frame):
-    cases = {"438.0": 438, "7": 7, "1.5E3": 1500, "3.99": 3, "": None, "UNK": None, "-4.0": None, "1e99": None, "NaN": None, "12x": None}
+    cases = {"438.0": 438, "7": 7, "1.5E3": 1500, "3.99": 3, "": None, "UNK": None, "-4.0": -4, "-3.7": -4, "+7": 7, ".5": 0, "5.": 5, ".": None, "+": None, "e5": None, "1e99": None, "NaN": None, "12x": None}
     rows = frame([(t,) for t in cases], "raw string").select("raw", rejects.token_id_from_text(F.col("raw")).alias("id"))
     assert {r.raw: r.id for r in rows.collect()} == cases
 

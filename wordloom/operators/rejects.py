@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: a whole or decimal number with an optional exponent and no sign.
-NUMBER = r"\A[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?\z"
+# Fixed value: a decimal number with an optional sign, point and exponent.
+NUMBER = r"\A[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?\z"
 
 NOT_A_NUMBER = "not a number"
 UNKNOWN_ID = "unknown id"
 
 
 def token_id_from_text(text: Column) -> Column:
-    """``"438.0"`` -> 438 through single precision; NULL for text that is no id."""
+    """``"438.0"`` -> 438 through single precision, ``"-3.7"`` -> -4; NULL for text that is no number."""
     number = F.floor(F.when(text.rlike(NUMBER), text.try_cast("float")))
     return number.try_cast("int")
 

@@ -59,9 +59,15 @@ def from_text(lines: DataFrame) -> DataFrame:
 
 
 def first_per_key(samples: DataFrame, keys: list[str]) -> DataFrame:
-    """One row per key, for input that may repeat rows. Repeats collapse in each task first."""
+    """One row per key, for input that may repeat rows; null keys are left out.
+
+    Of rows that share a key but not the rest, the one with the smallest hash stays. With numeric keys
+    every step hashes: long text is neither compared nor sorted.
+    """
     others = [c for c in samples.columns if c not in keys]
-    return samples.groupBy(*keys).agg(F.min(F.struct(*others)).alias("kept")).select(*keys, "kept.*")
+    marked = samples.withColumn("_mark", F.xxhash64(*others))
+    least = marked.groupBy(*keys).agg(F.min("_mark").alias("_mark"))
+    return marked.join(least.hint("shuffle_hash"), [*keys, "_mark"]).drop("_mark").select(*keys, *others).distinct()
 
 
 def ordered(samples: DataFrame, keys: list[str] = KEY) -> DataFrame:
