@@ -1,4 +1,5 @@
 import base64
+import dataclasses
 import math
 
 import pytest
@@ -20,7 +21,7 @@ def corpus(frame):
 def test_three_stages(spark, frame, tmp_path, with_encoder):
     encoder = bpe.Encoder(bpe.byte_ranks(spark)) if with_encoder else None
     written = run(corpus(frame), str(tmp_path / "out"), SHORT, encoder)
-    expected = {"word_count", "samples", "embeddings"} | (set() if with_encoder else {"dictionary"})
+    expected = {"word_count", "samples", "embeddings", "rejects"} | (set() if with_encoder else {"dictionary"})
     assert set(written) == expected
     counted = {r.word: r for r in spark.read.parquet(written["word_count"]).collect()}
     assert counted["the"].n == 6 * TEXT.split().count("the") and counted[""].n == 6 and list(counted[""].token_ids) == []
@@ -32,6 +33,8 @@ def test_three_stages(spark, frame, tmp_path, with_encoder):
     table = {r.token_id: r for r in spark.read.parquet(written["embeddings"]).collect()}
     assert set(table) == ids
     assert all(len(r.vec) == 5 and all(map(math.isfinite, r.vec)) and len(r.near) == 3 for r in table.values())
+    assert spark.read.parquet(written["rejects"]).isEmpty()
+    assert spark.read.parquet(written["samples"]).schema["vec"].dataType.elementType.simpleString() == "double"
     names = {r.token for r in table.values()}
     assert ({"c", "t"} if with_encoder else {"cat", "ma", "the"}) <= names
 
@@ -61,6 +64,23 @@ def test_no_sample(spark, frame, tmp_path):
     assert set(run(blank, str(tmp_path / "out"), SHORT)) == {"dictionary", "word_count", "samples"}
 
 
+def test_a_model_too_large_stops_before_counts_are_written(spark, frame, tmp_path, monkeypatch):
+    monkeypatch.setattr(word2vec, "MAX_MODEL", 10)
+    with pytest.raises(ValueError, match="exceed 10"):
+        run(corpus(frame), str(tmp_path / "out"), SHORT)
+    assert {p.name for p in (tmp_path / "out").iterdir()} == {"dictionary"}
+    written = run(corpus(frame), str(tmp_path / "out"), dataclasses.replace(SHORT, embed=False))
+    assert set(written) == {"dictionary", "word_count", "samples"}
+
+
+def test_ids_without_a_name_are_rejected_with_a_reason(frame):
+    fitted = frame([(0, 1, [1.0], [2, 9]), (0, 8, [1.0], [1]), (1, 8, [2.0], [9])], "shard_id int, token_id int, vec array<float>, near array<int>")
+    names = frame([(1, "a"), (2, "b")], "token_id int, token string")
+    found = {tuple(r) for r in word2vec.rejected_ids(fitted, names).collect()}
+    assert found == {("token", "8", "unknown id"), ("neighbour", "9", "unknown id")}
+    assert {r.token_id for r in word2vec.embedding_table(fitted, names).collect()} == {1}
+
+
 def test_from_files(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "book.txt").write_bytes(TEXT.encode())
@@ -78,11 +98,11 @@ def test_command_line(spark, frame, tmp_path):
     short = ["--window", "6", "--stride", "2", "--dim", "4", "--epochs", "1", "--partitions", "1", "--n-models", "1"]
     written = main([str(tmp_path / "in"), str(tmp_path / "out"), "--prefix", "shard_", "--text", *short])
     texts = {"text/wordCount.csv", "text/samples", "text/embeddings.csv"}
-    assert set(written) == {"dictionary", "word_count", "samples", "embeddings"} | texts
+    assert set(written) == {"dictionary", "word_count", "samples", "embeddings", "rejects"} | texts
     assert spark.read.parquet(written["word_count"]).where("word = 'unseen'").isEmpty()
     assert len(spark.read.parquet(written["embeddings"]).first().vec) == 4
     frame([(1, TEXT)], "doc_id long, text string").write.parquet(str(tmp_path / "table"))
     ranks = tmp_path / "ranks"
     ranks.write_bytes(b"".join(base64.b64encode(bytes([i])) + b" %d\n" % i for i in range(256)))
     written = main([str(tmp_path / "table"), str(tmp_path / "out2"), "--table", "--ranks", str(ranks), "--words", "50k", *short])
-    assert set(written) == {"word_count", "samples", "embeddings"}
+    assert set(written) == {"word_count", "samples", "embeddings", "rejects"}

@@ -23,10 +23,11 @@ def main(arguments: list[str] | None = None) -> dict[str, str]:
     parser.add_argument("--ranks", help="rank table file; a dictionary of the corpus is used without one")
     parser.add_argument("--words", choices=PATTERNS, default="100k", help="how the rank table cuts words")
     parser.add_argument("--text", action="store_true", help="write the results as text as well")
+    parser.add_argument("--single-file", action="store_true", help="write each text as one file")
     for field in dataclasses.fields(Settings):
         flag = "--" + field.name.replace("_", "-")
         if isinstance(field.default, bool):
-            parser.add_argument(flag, action="store_true")
+            parser.add_argument(flag, action=argparse.BooleanOptionalAction, default=field.default)
         else:
             kind = str if isinstance(field.default, str) else int
             parser.add_argument(flag, type=kind, default=field.default, help=f"default {field.default!r}")
@@ -41,7 +42,7 @@ def main(arguments: list[str] | None = None) -> dict[str, str]:
     encoder = bpe.Encoder(bpe.read_ranks(spark, given.ranks), PATTERNS[given.words]) if given.ranks else None
     written = run(source, given.output, settings, encoder)
     if given.text:
-        texts = export_text(spark, written, f"{given.output}/text")
+        texts = export_text(spark, written, f"{given.output}/text", given.single_file)
         written |= {f"text/{name}": path for name, path in texts.items()}
     for name, path in written.items():
         print(f"{name}: {path}")
