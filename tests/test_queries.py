@@ -32,7 +32,7 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", ["text_lines", "word_explode", "sentence_split", "sentence_index", "empty_sentences", "sliding_windows_bpe"])
+@pytest.mark.parametrize("name", ["text_lines", "word_explode", "sentence_split", "sentence_index", "empty_sentences", "sliding_windows_bytes"])
 def test_map_only_queries_shuffle_nothing_but_a_small_scan(spark, name):
     plan = plan_of(queries()[name](spark, SF))
     assert plan.count("Exchange") == plan.count("REPARTITION_BY_NUM") == 1
@@ -47,3 +47,20 @@ def test_no_cross_join(spark, name):
 def test_word_count_sums_before_the_shuffle(spark):
     plan = plan_of(queries()["word_count"](spark, SF))
     assert "partial_count" in plan
+
+
+@pytest.mark.parametrize("name", ["encode_bytes", "decode_bytes", "sliding_windows_bytes"])
+def test_bytes_need_no_python(spark, name):
+    plan = plan_of(queries()[name](spark, SF))
+    assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_repeats_collapse_without_a_sort(spark):
+    plan = plan_of(queries()["samples_dedup"](spark, SF))
+    assert "SortAggregate" not in plan
+
+
+def test_good_and_rejected_words_are_all_words(spark):
+    kinds = ("accept_good_tokens", "reject_bad_tokens", "word_count")
+    good, bad, all_ = (queries()[name](spark, SF).count() for name in kinds)
+    assert good + bad == all_

@@ -8,6 +8,7 @@ from wordloom.plans.queries import (
     DIVISOR,
     FOLD_CHUNK,
     MIN_COUNT,
+    MODEL,
     PAD,
     SHARDS,
     SIZE,
@@ -32,6 +33,13 @@ def _word_list(text: str) -> str:
     )
 
 
+MODEL_WORDS = f"""
+used AS (
+  SELECT doc_id % 2 AS shard, CAST(unnest(vec[1:{SIZE} - n_pads]) AS INTEGER) AS token_id FROM samples),
+per_shard AS (
+  SELECT shard, token_id FROM used GROUP BY ALL HAVING count(*) >= {MIN_COUNT}),
+sizes AS (SELECT shard, count(*) AS size FROM per_shard GROUP BY ALL)"""
+
 WORDS = f"""
 words AS (
   SELECT doc_id, line_no, CAST(generate_subscripts(ws, 1) - 1 AS INTEGER) AS word_idx, unnest(ws) AS word
@@ -141,7 +149,21 @@ nearest AS (
 freq AS (
   SELECT label, near_id, count(*) AS n FROM nearest JOIN embeddings USING (vec_id) GROUP BY ALL)"""
 
-IS_NUMBER = r"regexp_matches(raw, '\A[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?\z')"
+MERGED = """
+named AS (
+  SELECT a.label AS token_id, b.label AS near_id, count(*) AS n
+  FROM nearest JOIN embeddings a USING (vec_id) JOIN embeddings b ON b.vec_id = near_id GROUP BY ALL),
+top AS (
+  SELECT token_id, string_agg('label ' || near_id, ', ' ORDER BY rank) AS near_str
+  FROM (SELECT *, row_number() OVER (PARTITION BY token_id ORDER BY n DESC, near_id) AS rank FROM named QUALIFY rank <= 3)
+  GROUP BY token_id),
+means AS (
+  SELECT label AS token_id, pos, CAST(avg(CAST(x AS DOUBLE)) AS FLOAT) AS mean
+  FROM (SELECT label, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos, unnest(embedding) AS x FROM embeddings)
+  GROUP BY ALL)"""
+
+# Written apart from the operator's pattern: the engine's own reading of numbers, less what only it reads.
+IS_NUMBER = "(TRY_CAST(raw AS DOUBLE) IS NOT NULL AND translate(raw, '0123456789+-.eE', '') = '')"
 TEXT_TO_ID = f"CASE WHEN {IS_NUMBER} THEN TRY_CAST(floor(TRY_CAST(raw AS FLOAT)) AS INTEGER) END"
 
 
@@ -208,6 +230,21 @@ ORACLES: dict[str, str] = {
         read AS (SELECT raw, n, {TEXT_TO_ID} AS token_id FROM (SELECT word AS raw, count(*) AS n FROM words GROUP BY word))
         SELECT raw, n, CASE WHEN {IS_NUMBER} THEN 'unknown id' ELSE 'not a number' END AS reason
         FROM read WHERE token_id IS NULL OR token_id NOT IN (SELECT token_id FROM dictionary)""",
+    "accept_good_tokens": f"""{_with(LINES, WORDS, SENTENCES, TOKENS, _dictionary('tokens'))},
+        read AS (SELECT raw, n, {TEXT_TO_ID} AS token_id FROM (SELECT word AS raw, count(*) AS n FROM words GROUP BY word))
+        SELECT raw, n, token_id FROM read WHERE token_id IN (SELECT token_id FROM dictionary)""",
+    "samples_tsv": f"""{TO_SAMPLES}, texts AS (SELECT sample_key, {VEC_STR} FROM samples)
+        SELECT sample_key || chr(9) || vec_str AS line FROM texts""",
+    "word2vec_coverage": f"""{TO_SAMPLES}
+        SELECT token_id, CAST({MODEL.dim} AS INTEGER) AS dim, true AS finite
+        FROM (SELECT CAST(unnest(vec[1:{SIZE} - n_pads]) AS INTEGER) AS token_id FROM samples)
+        GROUP BY token_id HAVING count(*) >= {MIN_COUNT}""",
+    "ensemble_coverage": f"""{_with(LINES, SENTENCES, TOKENS, _dictionary('tokens'), IDS, WINDOWS, MODEL_WORDS)}
+        SELECT token_id, CAST(count(*) AS INTEGER) AS n_models, CAST({MODEL.dim} AS INTEGER) AS dim, true AS finite
+        FROM per_shard GROUP BY token_id""",
+    "embedding_coverage": f"""{_with(LINES, SENTENCES, TOKENS, _dictionary('tokens'), IDS, WINDOWS, MODEL_WORDS)}
+        SELECT token_id, word AS token, CAST(least(max(size) - 1, {MODEL.kept}) AS INTEGER) AS n_near
+        FROM per_shard JOIN sizes USING (shard) JOIN dictionary USING (token_id) GROUP BY token_id, word""",
     "vector_to_string": f"""SELECT vec_id, array_to_string(list_transform({SCALED}, lambda x: CAST(x AS VARCHAR)), ';') AS text
         FROM embeddings""",
     "vector_parse": f"""SELECT vec_id, CAST(len(embedding) AS INTEGER) AS n,
@@ -234,20 +271,13 @@ ORACLES: dict[str, str] = {
         GROUP BY label, pos""",
     "nearest_words": f"{_with(NEAREST)} SELECT * FROM nearest",
     "neighbour_freq": f"{_with(NEAREST)} SELECT * FROM freq",
-    "embedding_merge": f"""{_with(NEAREST)},
-        named AS (
-          SELECT a.label AS token_id, b.label AS near_id, count(*) AS n
-          FROM nearest JOIN embeddings a USING (vec_id) JOIN embeddings b ON b.vec_id = near_id GROUP BY ALL),
-        top AS (
-          SELECT token_id, string_agg('label ' || near_id, ', ' ORDER BY rank) AS near_str
-          FROM (SELECT *, row_number() OVER (PARTITION BY token_id ORDER BY n DESC, near_id) AS rank FROM named QUALIFY rank <= 3)
-          GROUP BY token_id),
-        means AS (
-          SELECT label AS token_id, pos, CAST(avg(CAST(x AS DOUBLE)) AS FLOAT) AS mean
-          FROM (SELECT label, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos, unnest(embedding) AS x FROM embeddings)
-          GROUP BY ALL)
+    "embedding_merge": f"""{_with(NEAREST, MERGED)}
         SELECT token_id, 'label ' || token_id AS token, pos, round(CAST(mean AS DOUBLE), 5) AS value, near_str
         FROM means JOIN top USING (token_id)""",
+    "embeddings_csv": f"""{_with(NEAREST, MERGED)},
+        rows AS (SELECT token_id, string_agg(CAST(floor(CAST(mean AS DOUBLE) * 100) AS INTEGER), ';' ORDER BY pos) AS vec FROM means GROUP BY ALL)
+        SELECT 'label ' || token_id || ',' || vec || ',' || CASE WHEN contains(near_str, ',') THEN '"' || near_str || '"' ELSE near_str END AS line
+        FROM rows JOIN top USING (token_id)""",
     "neighbour_top3": f"""{_with(NEAREST)}
         SELECT label, near_id, CAST(row_number() OVER (PARTITION BY label ORDER BY n DESC, near_id) AS INTEGER) AS rank
         FROM freq QUALIFY rank <= 3""",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 from wordloom.functions import text as T
 from wordloom.functions import vectors as V
-from wordloom.operators import bpe, counts, dictionary, lines, neighbours, rejects, samples, sharding, word2vec
-from wordloom.session import stage_table
+from wordloom.operators import counts, dictionary, lines, neighbours, rejects, samples, sharding, word2vec
+from wordloom.plans.pipeline import Settings
+from wordloom.session import checkpoint_dir, stage_table
 from wordloom.sources import readers
-from wordloom.sources.writers import csv_line
+from wordloom.sources.writers import write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,10 +27,8 @@ CUT_START, CUT_LENGTH = 16, 32
 FOLD_CHUNK = 3
 DIVISOR = 7
 
-# A rank table in the text form of public tokenizers, named by this setting or taken from the
-# place below; without one, queries use the table without merges.
-RANKS_SETTING = "spark.wordloom.ranks"
-RANKS_FILE = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+# The models of the registered queries: one epoch over the words that the corpus holds three times.
+MODEL = Settings(dim=20, epochs=1, min_count=MIN_COUNT, n_models=2)
 
 QUERIES: dict[str, Query] = {}
 
@@ -75,19 +74,15 @@ def _samples(spark, sf):
     return samples.sliding_windows(_sentence_ids(spark, sf), SIZE, STRIDE, PAD)
 
 
-def _byte_encoder(spark):
-    return bpe.Encoder(bpe.byte_ranks(spark), bpe.WORDS_50K)
+def _byte_ids(text):
+    """The bytes of a text as numbers."""
+    return F.transform(F.regexp_extract_all(F.hex(text.cast("binary")), F.lit(".."), 0), lambda h: F.conv(h, 16, 10).cast("int"))
 
 
-def _encoder(spark):
-    path = spark.conf.get(RANKS_SETTING, RANKS_FILE if os.path.exists(RANKS_FILE) else "")
-    if not path:
-        return _byte_encoder(spark)
-    return bpe.Encoder(bpe.read_ranks(spark, path), bpe.WORDS_50K)
-
-
-def _bpe_samples(spark, sf, encoder):
-    return samples.sliding_windows(encoder.sentence_token_ids(_sentences(spark, sf)), SIZE, STRIDE, PAD)
+def _sentence_bytes(spark, sf):
+    """(keys, token_ids): the bytes of each sentence's words, without the spaces between them."""
+    worded = _sentences(spark, sf).where(F.rtrim("sentence") != "")
+    return worded.select(*samples.KEY[:3], _byte_ids(F.replace("sentence", F.lit(" "))).alias("token_ids"))
 
 
 def _rendered_vectors(df: DataFrame) -> DataFrame:
@@ -173,9 +168,16 @@ def word_count_with_ids(spark, sf):
     return _counts_with_ids(spark, sf)
 
 
+def _sink_lines(spark, df, form):
+    """What a sink writes, read back line by line."""
+    path = f"{checkpoint_dir(spark)}/sink-{uuid.uuid4().hex}"
+    write_table(df, path, form)
+    return spark.read.text(path).withColumnRenamed("value", "line")
+
+
 @query
 def word_count_csv(spark, sf):
-    return _counts_with_ids(spark, sf).select(csv_line("word", "n", "ids_str").alias("line"))
+    return _sink_lines(spark, _counts_with_ids(spark, sf), "csv")
 
 
 @query
@@ -196,44 +198,25 @@ def decode_tokens(spark, sf):
     return dictionary.decode(used, known)
 
 
-# Byte-pair encoding
-
-
-@query
-def encode_bpe(spark, sf):
-    distinct = counts.word_count(_words(spark, sf)).select("word")
-    return distinct.select("word", _encoder(spark).word_ids(F.col("word")).alias("token_ids"))
+# Bytes as token ids
 
 
 @query
 def encode_bytes(spark, sf):
     distinct = counts.word_count(_words(spark, sf)).select("word")
-    ids = _byte_encoder(spark).word_ids(F.col("word"))
-    return distinct.select("word", F.array_join(ids.cast("array<string>"), ";").alias("ids_str"))
-
-
-@query
-def decode_bpe(spark, sf):
-    encoder = _encoder(spark)
-    used = encoder.sentence_token_ids(_sentences(spark, sf)).select(F.explode("token_ids").alias("token_id"))
-    return encoder.decode(used)
+    return distinct.select("word", F.array_join(_byte_ids(F.col("word")).cast("array<string>"), ";").alias("ids_str"))
 
 
 @query
 def decode_bytes(spark, sf):
-    encoder = _byte_encoder(spark)
-    used = encoder.sentence_token_ids(_sentences(spark, sf)).select(F.explode("token_ids").alias("token_id"))
-    return encoder.decode(used)
-
-
-@query
-def sliding_windows_bpe(spark, sf):
-    return _rendered_vectors(_bpe_samples(spark, sf, _encoder(spark)))
+    used = _sentence_bytes(spark, sf).select(F.explode("token_ids").alias("token_id")).distinct()
+    text = F.make_valid_utf8(F.unhex(F.lpad(F.hex("token_id"), 2, "0")).cast("string"))
+    return used.select("token_id", text.alias("token"))
 
 
 @query
 def sliding_windows_bytes(spark, sf):
-    return _rendered_vectors(_bpe_samples(spark, sf, _byte_encoder(spark)).drop("n_tokens"))
+    return _rendered_vectors(samples.sliding_windows(_sentence_bytes(spark, sf), SIZE, STRIDE, PAD).drop("n_tokens"))
 
 
 # Token ids and samples
@@ -263,9 +246,15 @@ def sample_keys(spark, sf):
 
 @query
 def samples_dedup(spark, sf):
-    once = _rendered_vectors(_samples(spark, sf)).select(samples.sample_key().alias("sample_key"), "vec_str")
+    once = _rendered_vectors(_samples(spark, sf)).drop("n_tokens")
     twice = once.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("_copy")
-    return samples.first_per_key(twice, ["sample_key"])
+    return samples.first_per_key(twice, samples.KEY).select(samples.sample_key().alias("sample_key"), "vec_str")
+
+
+@query
+def samples_tsv(spark, sf):
+    keyed = _samples(spark, sf).select(samples.sample_key().alias("sample_key"), "vec")
+    return _sink_lines(spark, keyed, "tsv")
 
 
 @query
@@ -299,8 +288,17 @@ def token_id_from_text(spark, sf):
 
 @query
 def reject_bad_tokens(spark, sf):
+    return _split_words(spark, sf)[1]
+
+
+def _split_words(spark, sf):
     raw = counts.word_count(_words(spark, sf)).withColumnRenamed("word", "raw")
-    return rejects.split_rejects(raw, dictionary.build_dictionary(_tokens(spark, sf)))[1]
+    return rejects.split_rejects(raw, dictionary.build_dictionary(_tokens(spark, sf)))
+
+
+@query
+def accept_good_tokens(spark, sf):
+    return _split_words(spark, sf)[0]
 
 
 # Vectors
@@ -397,44 +395,83 @@ def neighbour_top3(spark, sf):
     return neighbours.most_frequent(_neighbour_counts(spark, sf), "label").drop("n")
 
 
-@query
-def embedding_merge(spark, sf):
+def _merged(spark, sf):
     """The final table from given vectors: labels as tokens, labels of the nearest vectors as neighbours."""
     given = _embeddings(spark, sf)
     labels = given.select(F.col("vec_id").alias("near_id"), F.col("label").alias("near_label"))
     named = nearest_words(spark, sf).join(labels, "near_id").groupBy("vec_id").agg(F.collect_list("near_label").alias("near"))
     messages = given.join(named, "vec_id").select(F.col("label").alias("token_id"), F.col("embedding").alias("vec"), "near")
     names = given.select(F.col("label").alias("token_id")).distinct().withColumn("token", F.concat(F.lit("label "), "token_id"))
-    table = word2vec.embedding_table(messages, names)
+    return word2vec.embedding_table(messages, names)
+
+
+@query
+def embedding_merge(spark, sf):
+    table = _merged(spark, sf)
     positions = table.select("token_id", "token", F.posexplode("vec").alias("pos", "value"), F.array_join("near", ", ").alias("near_str"))
     return positions.withColumn("value", F.round(F.col("value").cast("double"), 5))
 
 
+@query
+def embeddings_csv(spark, sf):
+    """The sink's lines with the vector as whole hundredths, whose text is the same in every engine."""
+    hundredths = F.transform("vec", lambda x: F.floor(x.cast("double") * 100).cast("int"))
+    rows = _merged(spark, sf).select("token", hundredths.alias("vec"), F.array_join("near", ", ").alias("near"))
+    return _sink_lines(spark, rows, "csv")
+
+
 # Models: short settings, whole corpus
 
-MODEL = {"dim": 20, "epochs": 1, "window": SIZE}
+
+def _sharded_samples(spark, sf):
+    """Samples over dictionary ids, sharded by document."""
+    sharded = _samples(spark, sf).withColumn("shard_id", sharding.shard_by_id("doc_id", MODEL.n_models))
+    return stage_table(sharded, "samples", ["shard_id"])
+
+
+def _model_settings():
+    return {name: getattr(MODEL, name) for name in ("dim", "epochs", "window", "min_count", "seed", "partitions")}
+
+
+def _fitted(spark, sf, k=None):
+    return word2vec.fit_shards(_sharded_samples(spark, sf), MODEL.n_models, k, **_model_settings())
 
 
-def _sharded_samples(spark, sf, encoder, n):
-    cut = _bpe_samples(spark, sf, encoder)
-    return stage_table(cut.withColumn("shard_id", sharding.shard_by_hash(samples.KEY, n)), "samples", ["shard_id"])
+def _finite(vector="vec"):
+    return F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
 
 
 @query
 def word2vec_vectors(spark, sf):
-    encoder = _encoder(spark)
-    return word2vec.fit_vectors(_sharded_samples(spark, sf, encoder, 1), vocab_bound=encoder.size, **MODEL)
+    return word2vec.fit_vectors(_sharded_samples(spark, sf), **_model_settings())
+
+
+@query
+def word2vec_coverage(spark, sf):
+    return word2vec_vectors(spark, sf).select("token_id", F.size("vec").alias("dim"), _finite().alias("finite"))
 
 
 @query
 def word2vec_ensemble(spark, sf):
-    encoder = _encoder(spark)
-    fitted = word2vec.fit_shards(_sharded_samples(spark, sf, encoder, 2), 2, vocab_bound=encoder.size, **MODEL)
-    return word2vec.merge_shards(fitted)
+    return word2vec.merge_shards(_fitted(spark, sf))
+
+
+@query
+def ensemble_coverage(spark, sf):
+    return word2vec_ensemble(spark, sf).select("token_id", "n_models", F.size("vec").alias("dim"), _finite().alias("finite"))
 
 
 @query
 def embedding_table(spark, sf):
-    encoder = _encoder(spark)
-    fitted = word2vec.fit_shards(_sharded_samples(spark, sf, encoder, 2), 2, 5, vocab_bound=encoder.size, **MODEL)
-    return word2vec.embedding_table(fitted, encoder.decode(fitted.select("token_id")))
+    tokens = _tokens(spark, sf)
+    known = dictionary.build_dictionary(tokens)
+    samples_ = samples.sliding_windows(dictionary.sentence_token_ids(tokens, known), SIZE, STRIDE, PAD)
+    sharded = stage_table(samples_.withColumn("shard_id", sharding.shard_by_id("doc_id", MODEL.n_models)), "samples", ["shard_id"])
+    fitted = stage_table(word2vec.fit_shards(sharded, MODEL.n_models, MODEL.nearest, **_model_settings()), "fitted")
+    return word2vec.embedding_table(fitted, dictionary.decode(fitted, known), MODEL.kept)
+
+
+@query
+def embedding_coverage(spark, sf):
+    """How many neighbours each token of the final table has."""
+    return embedding_table(spark, sf).select("token_id", "token", F.size("near").alias("n_near"))
