@@ -1,0 +1,71 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from wordloom.llm import lang_id
+
+SYLLABLES = {"xa": ["ta", "ko", "mi", "ru"], "xb": ["sch", "en", "ber", "ung"], "xc": ["eau", "oi", "que", "ment"]}
+
+
+def document(lang, rng, words):
+    return " ".join("".join(rng.choices(SYLLABLES[lang], k=rng.randint(1, 3))) for _ in range(words))
+
+
+@pytest.fixture(scope="module")
+def learned(spark):
+    rng = random.Random(1)
+    rows = [(lang, document(lang, rng, 40)) for lang in SYLLABLES for _ in range(30)] + [(None, "ignored"), ("xa", None), ("xd", "123")]
+    return lang_id.prototypes(spark.createDataFrame(rows, "lang string, text string").repartition(4))
+
+
+def test_held_out_accuracy(spark, learned):
+    rng = random.Random(2)
+    truth = {k: rng.choice(list(SYLLABLES)) for k in range(200)}
+    docs = spark.createDataFrame([(k, document(lang, rng, 12)) for k, lang in truth.items()], "doc_id bigint, text string")
+    found = lang_id.predict(docs, learned).collect()
+    assert sum(r.lang_pred == truth[r.doc_id] for r in found) >= 190
+    assert all(0 <= r.score <= 1.0000001 for r in found)
+
+
+def test_bundles_equal_the_sum_over_grams():
+    text = "Ab ab, Äz!"
+    want = np.zeros(lang_id.DIM)
+    plain = " ab ab äz "
+    for k in range(len(plain) - 2):
+        vector = np.ones(lang_id.DIM)
+        for j, c in enumerate(plain[k : k + 3]):
+            vector *= np.roll(lang_id._letter_vector(ord(c)), 2 - j)
+        want += vector
+    assert np.array_equal(lang_id.bundles([text])[0], want)
+
+
+def test_prototypes_do_not_depend_on_partitions(spark, learned):
+    rng = random.Random(1)
+    rows = [(lang, document(lang, rng, 40)) for lang in SYLLABLES for _ in range(30)]
+    again = lang_id.prototypes(spark.createDataFrame(rows, "lang string, text string").coalesce(1))
+    assert sorted(again) == sorted(learned) == ["xa", "xb", "xc"]
+    assert all(np.array_equal(again[k], learned[k]) for k in again)
+
+
+def test_odd_texts(spark, learned, monkeypatch):
+    texts = [None, "", "12 34 !?", "ta", "ta" * 50000, "日本語", " \n"]
+    docs = spark.createDataFrame([(k, t, "x") for k, t in enumerate(texts)], "doc_id bigint, text string, lang_pred string")
+    found = {r.doc_id: (r.lang_pred, r.score) for r in lang_id.predict(docs, learned).collect()}
+    assert {k for k, v in found.items() if v == ("und", 0.0)} == {0, 1, 2, 6}
+    assert found[3][0] == found[4][0] == "xa"
+    assert {r.lang_pred for r in lang_id.predict(docs, {}).collect()} == {"und"}
+    assert lang_id.predict(docs.limit(0), learned).count() == 0
+
+
+def test_pieces_change_only_what_lies_across_their_ends(monkeypatch):
+    whole = lang_id.bundles(["takomi " * 200])[0]
+    monkeypatch.setattr(lang_id, "PIECE", 70)
+    cut = lang_id.bundles(["takomi " * 200])[0]
+    assert whole @ cut / np.linalg.norm(whole) / np.linalg.norm(cut) > 0.99
+
+
+def test_held_out_rows(spark):
+    rows = spark.range(50).select("id", lang_id.held_out("id", 4, 2).alias("out")).collect()
+    assert all(r.out == (zlib.crc32(str(r.id).encode()) % 4 == 2) for r in rows)

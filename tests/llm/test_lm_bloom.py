@@ -1,0 +1,104 @@
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from wordloom.llm import lm_bloom
+
+
+def tokens(text):
+    return [*re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or "")), None]
+
+
+def corpus(n=300, seed=3):
+    rng = random.Random(seed)
+    vocabulary = [f"w{k}" for k in range(400)]
+    follows = {w: rng.sample(vocabulary, 4) for w in vocabulary}
+    texts = []
+    for _ in range(n):
+        word, out = rng.choice(vocabulary[:20]), []
+        for _ in range(rng.randint(0, 60)):
+            out.append(word if rng.random() < 0.9 else word.upper())
+            word = rng.choice(follows[word])
+        texts.append(rng.choice([" ", "\n"]).join(out))
+    return [(k, t) for k, t in enumerate(texts)] + [(1000, None), (1001, ""), (1002, "unseen words only"), (1003, "w1 " * 30000)]
+
+
+def scored(spark, rows, training="doc_id % 5 <> 2"):
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    return lm_bloom.scores(docs, F.expr(training)).collect()
+
+
+def base(rows, found, trains):
+    counts = Counter(t for k, text in rows if trains(k) for t in tokens(text))
+    n, v = sum(counts.values()), len(counts)
+    texts = dict(rows)
+    for r in found:
+        own = tokens(texts[r.doc_id])
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(own), sum(counts[t] > 0 for t in own), n)
+        want = sum(math.log10((counts[t] + 1) / (n + v + 1)) for t in own)
+        assert r.base_score == pytest.approx(want, rel=1e-9)
+
+
+def test_base_scores_equal_brute_force(spark):
+    rows = corpus()
+    found = scored(spark, rows)
+    assert len(found) == len(rows)
+    base(rows, found, lambda k: k % 5 != 2)
+
+
+def test_base_scores_without_hot_words(spark, monkeypatch):
+    monkeypatch.setattr(lm_bloom, "HOT", 0)
+    rows = corpus(60)
+    base(rows, scored(spark, rows), lambda k: k % 5 != 2)
+
+
+def test_pairs_help_on_held_out_texts(spark):
+    held = [r for r in scored(spark, corpus()) if r.doc_id % 5 == 2 and r.doc_id < 1000]
+    assert sum(r.score for r in held) > 0.9 * sum(r.base_score for r in held)
+    assert all(r.score < 0 for r in held)
+
+
+def test_scores_repeat_whatever_the_partitions(spark):
+    rows = corpus(80)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    runs = [sorted(map(tuple, lm_bloom.scores(d, F.expr("doc_id % 5 <> 2")).collect())) for d in (docs.coalesce(1), docs.repartition(7))]
+    for a, b in zip(*runs, strict=True):
+        assert a == pytest.approx(b, rel=1e-9)
+
+
+def test_a_small_filter_leaves_rare_pairs_out(spark, monkeypatch):
+    monkeypatch.setattr(lm_bloom, "MAX_BYTES", 1 << 10)
+    rows = corpus(100)
+    base(rows, scored(spark, rows), lambda k: k % 5 != 2)
+
+
+def test_filter_levels():
+    rng = np.random.default_rng(1)
+    keys = rng.integers(0, 1 << 63, 40_000, np.uint64)
+    stored, counts = keys[:20_000], rng.integers(1, 300, 20_000)
+    row = {"kind": lm_bloom.WORD, "block": 0, "keys": stored.tobytes(), "counts": counts.astype(np.int64).tobytes()}
+    import pyarrow as pa
+
+    built = next(lm_bloom._build(iter([pa.RecordBatch.from_pylist([row])]), 1)).to_pylist()[0]["bits"]
+    levels = lm_bloom.Filter([built], 1).levels(keys)
+    true = lm_bloom.level(counts)
+    assert (levels[:20_000] >= true).all()
+    assert (levels[:20_000] > true).mean() < 0.03
+    assert (levels[20_000:] > 0).mean() < 0.03
+
+
+def test_levels_and_estimates():
+    assert lm_bloom.level(np.array([1, 2, 3, 4, 7, 8])).tolist() == [1, 2, 2, 3, 3, 4]
+    assert lm_bloom.estimate(np.array([0, 1, 2, 3])).tolist() == [0, 1, 2.5, 5.5]
+
+
+def test_nothing_to_train_on_and_no_rows(spark):
+    found = scored(spark, [(1, "a b"), (1, "a b"), (2, None)], "false")
+    assert [(r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in sorted(found)] == [(3, 0, 0, 0), (3, 0, 0, 0), (1, 0, 0, 0)]
+    docs = spark.createDataFrame([], "doc_id bigint, text string, score double")
+    assert lm_bloom.scores(docs, F.lit(True)).count() == 0

@@ -1,0 +1,106 @@
+import random
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from wordloom.llm import pii_crf
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return pii_crf.train(pii_crf.labelled_examples(spark))
+
+
+def luhn(digits):
+    total = 0
+    for k, d in enumerate(reversed(digits)):
+        x = int(d) * (1 + k % 2)
+        total += x - 9 * (x > 9)
+    return total % 10 == 0
+
+
+def by_pattern(text):
+    """The base patterns as they are written, over the whole text."""
+    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(p) <= 255 for p in m.group().split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        digits = re.sub("[^0-9]", "", m.group())
+        if 16 <= len(digits) <= 19 and luhn(digits):
+            out.append(("card", *m.span()))
+    out += [("phone", *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text) if 8 <= len(re.sub("[^0-9]", "", m.group())) <= 15]
+    return out
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="a@.-+ 0129()é%\n", max_size=60))
+def test_base_spans_equal_the_patterns(text):
+    assert pii_crf.base_spans(text) == by_pattern(text)
+
+
+def test_base_spans_of_likely_texts():
+    rng = random.Random(4)
+    pieces = ["a.b@c.d", "x@y", "@", "a@b.c%d@e.f", "1.2.3.4", "256.1.1.1", "001.002.003.255", "1.2.3.4.5.6.7.8", "4111 1111 1111 1111", "4111-1111-1111-1112", "+1 (702) 555-0742", "+12", "+1-2-3-4-5-6-7-8", "9" * 30]
+    for _ in range(300):
+        text = rng.choice([" ", "", ",", "é "]).join(rng.choices(pieces, k=rng.randint(1, 6)))
+        assert pii_crf.base_spans(text) == by_pattern(text), text
+
+
+def test_long_runs_are_read_once():
+    text = "a" * 200_000 + " x@ " + "1" * 200_000 + " " + "1." * 50_000 + "+" * 50_000
+    assert pii_crf.base_spans(text) == []
+
+
+def test_labelled_spans_are_found_again(spark, model):
+    rows = pii_crf.labelled_examples(spark, seed=99).collect()
+    spans = [sorted((s.kind, s.start, s.stop) for s in r.spans) for r in rows]
+    found = [sorted((k, a, b) for k, a, b, _ in pii_crf.find_spans([r.text], model)[0]) for r in rows]
+    assert sum(a == b for a, b in zip(spans, found, strict=True)) >= 0.97 * len(rows)
+
+
+@pytest.mark.parametrize("text, kind, span", [("please call (702) 555-0742 at once", "phone", "(702) 555-0742"), ("or 702-555-0742, she said", "phone", "702-555-0742")])
+def test_the_field_adds_what_the_patterns_miss(model, text, kind, span):
+    found = [(k, text[a:b], base) for k, a, b, base in pii_crf.find_spans([text], model)[0]]
+    assert found == [(kind, span, False)]
+
+
+@pytest.mark.parametrize("text", ["Licensed under CC BY-NC 4.0.", "License, Version 2.0.", "version 3.", 'token = "04dbebab91ab85687d33eeaaf9ac699e1188f962"', "in 1998 it rose 12% to 4,500 units", "chapter 5 12 19", "", "no digits here"])
+def test_clean_texts_stay_clean(model, text):
+    assert pii_crf.find_spans([text], model) == [[]]
+
+
+def test_decoding_does_not_depend_on_the_batch(model, monkeypatch):
+    sequences = [["call", "(702)", "555-0742", "now"], ["x"], ["mail", "a@b.c"] * 30]
+    whole = [s.tolist() for s in model.decode(sequences)]
+    monkeypatch.setattr(pii_crf, "BATCH", 1)
+    assert [s.tolist() for s in model.decode(sequences)] == whole
+
+
+def test_viterbi_equals_all_paths(model):
+    import itertools
+
+    words = ["call", "(702)", "555-0742"]
+    unary = model._unary([words], 3)[0]
+    score = lambda p: model.begin[p[0]] + unary[0, p[0]] + sum(model.moves[a, b] + unary[t + 1, b] for t, (a, b) in enumerate(itertools.pairwise(p)))
+    best = max(itertools.product(range(len(pii_crf.STATES)), repeat=3), key=score)
+    assert model.decode([words])[0].tolist() == list(best)
+
+
+def test_tables(spark, model):
+    rows = [(1, None, "a"), (2, "", "b"), (3, "é mail a.b@c.de or 1.2.3.4", "c"), (3, "é mail a.b@c.de or 1.2.3.4", "d"), (None, "+1 (702) 555-0742", "e")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, spans string").repartition(2)
+    found = {(r.doc_id, tuple((s.kind, s.start, s.stop, s.base) for s in r.spans)) for r in pii_crf.find_pii(docs, model).collect()}
+    mail = (("email", 7, 15, True), ("ip", 19, 26, True))
+    assert found == {(1, ()), (2, ()), (3, mail), (None, (("phone", 0, 17, True),))}
+    masked = sorted((r.spans, r.text) for r in pii_crf.mask_pii(docs, model).collect())
+    assert masked == [("a", None), ("b", ""), ("c", "é mail [EMAIL] or [IP]"), ("d", "é mail [EMAIL] or [IP]"), ("e", "[PHONE]")]
+    assert pii_crf.find_pii(docs.limit(0), model).count() == pii_crf.mask_pii(docs.limit(0), model).count() == 0
+
+
+def test_training_tables(spark, monkeypatch):
+    nothing = pii_crf.train(pii_crf.labelled_examples(spark).limit(0))
+    assert [k for k, *_ in pii_crf.find_spans(["call 702-555-0742 or 1.2.3.4"], nothing)[0]] == ["ip"]
+    monkeypatch.setattr(pii_crf, "MAX_LABELLED", 10)
+    with pytest.raises(ValueError, match="labelled rows"):
+        pii_crf.train(pii_crf.labelled_examples(spark))

@@ -1,0 +1,108 @@
+import base64
+import gzip
+import hashlib
+from pathlib import Path
+
+import pytest
+
+from wordloom.llm import warc
+
+SCHEMA = "page_id bigint, url string, html string"
+
+
+def page_rows():
+    rows = [(k, f"http://a.example/{k}", f"<p>page {k % 40}</p>" * (1 + k % 5)) for k in range(200)]
+    rows += [(300, None, None), (301, "http://b.example/\r\nX: 1", ""), (302, "http://c.example/é", "é" * 70_000), (303, "", "x\r\n\r\nWARC/1.1\r\n\r\n")]
+    return rows
+
+
+def expected(rows, least=0):
+    first = {}
+    for page_id, _, html in sorted(rows, key=lambda r: r[0]):
+        first.setdefault(html or "", page_id)
+    out = []
+    for page_id, url, html in rows:
+        payload = (html or "").encode()
+        refers = None if first[html or ""] == page_id or len(payload) < least else first[html or ""]
+        out.append((page_id, url, len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode(), "revisit" if refers is not None else "response", refers))
+    return sorted(out, key=str)
+
+
+def written(spark, rows, target, parts=3, **more):
+    pages = spark.createDataFrame(rows, SCHEMA).repartition(parts)
+    manifest = warc.write(pages, str(target), **more)
+    return manifest, sorted(map(tuple, warc.read(manifest, str(target)).collect()), key=str)
+
+
+@pytest.mark.parametrize("least", [0, 30])
+def test_round_trip(spark, tmp_path, least):
+    _, got = written(spark, page_rows(), tmp_path / "out", least=least)
+    assert got == expected(page_rows(), least)
+
+
+def files(target):
+    return {p.name: p.read_bytes() for p in Path(target).glob("*.warc.gz")}
+
+
+def test_equal_rows_give_equal_files(spark, tmp_path):
+    small = {"roll": 2000, "shard": 20_000}
+    written(spark, page_rows(), tmp_path / "a", 3, **small)
+    manifest, _ = written(spark, page_rows()[::-1], tmp_path / "b", 7, **small)
+    assert files(tmp_path / "a") == files(tmp_path / "b")
+    assert len(files(tmp_path / "a")) > 5
+    rows = sorted(manifest.collect(), key=lambda r: r.file)
+    assert [r.file for r in rows] == sorted(files(tmp_path / "a"))
+    assert all(hashlib.sha1(files(tmp_path / "a")[r.file]).hexdigest() == r.sha1 for r in rows)
+    known = [(r.first_id, r.last_id) for r in rows]
+    assert all(a[1] < b[0] for a, b in zip(known, known[1:], strict=False))
+    assert not list((tmp_path / "a" / "_temporary").iterdir())
+
+
+def test_records_are_members_with_headers(spark, tmp_path):
+    written(spark, [(1, "http://a.example/", "<p>é</p>"), (2, "http://a.example/2", "<p>é</p>")], tmp_path / "out")
+    data = gzip.decompress(next(iter(files(tmp_path / "out").values())))
+    assert data.count(b"WARC/1.1\r\n") == 2
+    assert b"WARC-Type: revisit\r\n" in data and b"HTTP/1.1 200 OK\r\n" in data and b"identical-payload-digest" in data
+    assert data.count("<p>é</p>".encode()) == 1
+
+
+def test_leftovers_of_a_lost_attempt_are_not_read(spark, tmp_path):
+    target = tmp_path / "out"
+    (target / "_temporary").mkdir(parents=True)
+    (target / "_temporary" / "lost-part-00000000-00000.warc.gz").write_bytes(b"half a file")
+    _, got = written(spark, page_rows(), target)
+    assert got == expected(page_rows())
+
+
+def test_a_repeated_commit_changes_nothing(spark, tmp_path):
+    manifest, got = written(spark, page_rows(), tmp_path / "out")
+    before = files(tmp_path / "out")
+    batches = manifest.toArrow().to_batches()
+    assert sum(b.num_rows for b in warc._commit(iter(batches), str(tmp_path / "out"))) == len(before)
+    assert files(tmp_path / "out") == before
+
+
+def test_damage_is_seen(spark, tmp_path):
+    manifest, _ = written(spark, page_rows(), tmp_path / "out")
+    path = next((tmp_path / "out").glob("*.warc.gz"))
+    path.write_bytes(path.read_bytes()[:-20])
+    with pytest.raises(Exception, match="ends inside a record"):
+        warc.read(manifest, str(tmp_path / "out")).collect()
+
+
+def test_repeated_ids_and_clashing_columns(spark, tmp_path):
+    rows = [(5, "u", "same", "x", 1), (5, "u", "same", "y", 2), (7, "u", "same", "z", 3), (5, "v", "other", "w", 4), (9, "v", "other", "w", 4)]
+    pages = spark.createDataFrame(rows, SCHEMA + ", sha1 string, shard bigint")
+    manifest = warc.write(pages, str(tmp_path / "out"))
+    got = sorted((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in warc.read(manifest, str(tmp_path / "out")).collect())
+    assert got == [(5, 4, "response", None), (5, 4, "response", None), (5, 5, "response", None), (7, 4, "revisit", 5), (9, 5, "revisit", 5)]
+
+
+def test_null_ids_and_no_rows(spark, tmp_path):
+    _, got = written(spark, [(None, None, "a"), (1, "u", "a")], tmp_path / "out")
+    assert [(r[0], r[4], r[5]) for r in got] == [(1, "response", None), (None, "response", None)]
+    _, got = written(spark, [(None, None, "a")], tmp_path / "nulls")
+    assert len(got) == 1
+    pages = spark.createDataFrame([], SCHEMA)
+    manifest = warc.write(pages, str(tmp_path / "none"))
+    assert manifest.count() == 0 and warc.read(manifest, str(tmp_path / "none")).count() == 0

@@ -1,7 +1,7 @@
 """Mixing sources to target weights by subset sums over exact text lengths.
 
 A source's target is its share of all words, at most ``MOST`` times its own words. Whole repeats of
-the source fill most of it; the rest is a bounded knapsack: texts are counted by exact length, and
+the source fill most of it; the rest, less than the source has, is a bounded knapsack: texts are counted by exact length, and
 dynamic programming picks how many of each length to take once more so that the sum comes as near to
 the rest as it can. Which texts of a length are taken follows from a seeded hash.
 """
@@ -64,6 +64,10 @@ def fill(lengths: np.ndarray, counts: np.ndarray, rest: int, seed: int = SEED) -
     rest = min(rest, total)
     if rest == total:
         return counts.copy()
+    if rest > WINDOW and 2 * rest > total:  # what stays out is the smaller side
+        out = fill(lengths, counts, total - rest, seed)
+        if (lengths * out).sum() == total - rest:
+            return counts - out
     aim = max(0, rest - WINDOW)
     taken = counts * aim // max(1, total) if total < (1 << 62) // max(1, int(counts.max(initial=0))) else (counts * (aim / total)).astype(np.int64)
     left = rest - int((lengths * taken).sum())
@@ -104,12 +108,17 @@ def _knapsack(lengths: np.ndarray, counts: np.ndarray, rest: int, order: np.ndar
 
 
 def _choose(frame: pd.DataFrame) -> pd.DataFrame:
-    """Extra texts of each length of one source."""
+    """How often all texts of each length of one source are taken, and how many of them once more."""
+    frame = frame.sort_values("size", ignore_index=True)
     target, size = frame["target"].iloc[0], int(frame["source_size"].iloc[0])
     whole = int(min(MOST, target // size)) if size else 0
     lengths, counts = frame["size"].to_numpy(np.int64), frame["n"].to_numpy(np.int64)
-    extra = fill(lengths, counts, int(round(target - whole * size))) if whole < MOST and size else np.zeros(len(frame), np.int64)
-    return frame.assign(whole=whole, extra=np.where(lengths > 0, extra, 0))[[KEY, "size", "whole", "extra"]]
+    rest = int(round(target - whole * size)) if whole < MOST else 0
+    extra = fill(lengths, counts, rest)
+    if left := rest - int((lengths * extra).sum()):  # a source of few or long texts: further repeats may come nearer
+        extra += fill(lengths, counts * (MOST - whole) - extra, left)
+    extra = np.where(lengths > 0, extra, 0)
+    return frame.assign(whole=whole + extra // counts, extra=extra % counts)[[KEY, "size", "whole", "extra"]]
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, seed: int = SEED) -> DataFrame:
