@@ -48,7 +48,7 @@ def test_base_spans_of_likely_texts():
 
 
 def test_long_runs_are_read_once():
-    text = "a" * 200_000 + " x@ " + "1" * 200_000 + " " + "1." * 50_000 + "+" * 50_000
+    text = "a" * 200_000 + " x@ " + "1" * 200_000 + " " + "999." * 50_000 + "+" * 50_000
     assert pii_crf.base_spans(text) == []
 
 

@@ -13,8 +13,6 @@ from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,7 +57,7 @@ def gram_vectors(codes: np.ndarray) -> np.ndarray:
     out = np.ones((len(codes), DIM), np.int8)
     for k in range(GRAM):
         letters, at = np.unique(codes >> 21 * (GRAM - 1 - k) & 0x1FFFFF, return_inverse=True)
-        out *= np.roll(np.array([_letter_vector(int(c)) for c in letters]).reshape(-1, DIM), GRAM - 1 - k, 1)[at]
+        out *= np.roll(np.array([_letter_vector(int(c)) for c in letters], np.int8).reshape(-1, DIM), GRAM - 1 - k, 1)[at]
     return out
 
 
@@ -94,12 +92,12 @@ def bundles(texts: list[str]) -> np.ndarray:
 
 
 def _bundle_languages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sums per batch and language: n-grams are counted first, each is bound once."""
+    """One sum per language and task: n-grams are counted first, each is bound once per batch."""
+    sums: dict[str, np.ndarray] = {}
     for batch in batches:
         langs = np.array(batch.column(0).to_pylist(), object)
         texts = np.array(batch.column(1).to_pylist(), object)
-        names, sums = [], []
-        for lang in sorted(set(langs)):
+        for lang in set(langs):
             total, n, held = {}, 0, []
             for text in texts[langs == lang]:
                 for piece in _pieces(text):
@@ -111,12 +109,11 @@ def _bundle_languages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
             _count(total, held)
             codes = np.fromiter(total, np.int64, len(total))
             counts = np.fromiter(total.values(), np.float64, len(total))
-            vector = np.zeros(DIM)
+            vector = sums.setdefault(lang, np.zeros(DIM))
             for k in range(0, len(codes), 1 << 14):
                 vector += counts[k : k + (1 << 14)] @ gram_vectors(codes[k : k + (1 << 14)]).astype(np.float64)
-            names.append(lang)
-            sums.append(vector.tolist())
-        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(sums, pa.list_(pa.float64()))], ["lang", "vector"])
+    vectors = [v.astype(np.int64) for v in sums.values()]
+    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.string()), pa.array(vectors, pa.list_(pa.int64()))], ["lang", "vector"])
 
 
 def _count(total: dict, held: list[np.ndarray]) -> None:
@@ -132,11 +129,12 @@ def prototypes(labelled: DataFrame) -> dict[str, np.ndarray]:
     Sums of whole numbers are exact, so the order of the rows does not matter.
     """
     rows = labelled.where("lang is not null and text is not null").select(F.col("lang").cast("string"), F.col("text").cast("string"))
-    sums = rows.mapInArrow(_bundle_languages, "lang string, vector array<double>").select("lang", array_to_vector("vector").alias("v"))
-    found = sums.groupBy("lang").agg(vector_to_array(Summarizer.sum(F.col("v"))).alias("v")).limit(MAX_LANGUAGES + 1).collect()
+    parts = rows.mapInArrow(_bundle_languages, "lang string, vector array<bigint>").select("lang", F.posexplode("vector"))
+    sums = parts.groupBy("lang", "pos").agg(F.sum("col").alias("v")).groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("pos", "v"))).alias("v"))
+    found = sums.select("lang", F.col("v.v").alias("v")).limit(MAX_LANGUAGES + 1).collect()
     if len(found) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    vectors = {r.lang: np.array(r.v) for r in sorted(found, key=lambda r: r.lang)}
+    vectors = {r.lang: np.array(r.v, np.float64) for r in sorted(found, key=lambda r: r.lang)}
     return {lang: v / np.linalg.norm(v) for lang, v in vectors.items() if np.any(v)}
 
 
