@@ -6,7 +6,9 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from wordloom.operators import bpe
-from wordloom.plans.queries import QUERIES, RANKS_FILE
+from wordloom.plans.queries import QUERIES
+
+RANKS_FILE = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
 TEXT = ["hello world", " a  b ", "", "don't é日本 12345", "hello hello", "x" * 300, "tab\there"]
 
@@ -69,6 +71,8 @@ def test_words_of_the_corpus_equal_another_codec(spark):
         pytest.skip("no public rank table")
     other = tokenizers.Tokenizer.from_file(str(folder / "byte_bpe_50k.json"))
     other.encode_special_tokens = True
-    rows = QUERIES["encode_bpe"](spark, "/root/testdata/sf0.001").collect()
+    encoder = bpe.Encoder(bpe.read_ranks(spark, RANKS_FILE), bpe.WORDS_50K)
+    words = QUERIES["word_count"](spark, "/root/testdata/sf0.001").select("word")
+    rows = words.withColumn("token_ids", encoder.word_ids(F.col("word"))).collect()
     expected = other.encode_batch([r.word for r in rows], add_special_tokens=False)
     assert len(rows) > 1000 and [list(r.token_ids) for r in rows] == [e.ids for e in expected]

@@ -27,8 +27,8 @@ WORDS_50K = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: 200,000 entries and about a megabyte.
 MAX_RANKS = 1_000_000
 MAX_RANK_BYTES = 64 << 20
-#: Distinct words a task remembers.
-MEMORY = 1 << 18
+#: Distinct words a task remembers, and the longest of them.
+MEMORY, LONGEST = 1 << 18, 64
 
 
 def read_ranks(spark: SparkSession, path: str) -> DataFrame:
@@ -91,7 +91,7 @@ class Encoder:
             import tiktoken
 
             codec = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table.value, special_tokens={})
-            word_ids = lru_cache(memory)(codec.encode_ordinary)
+            remembered = lru_cache(memory)(codec.encode_ordinary)
             for batch in batches:
                 texts = pc.fill_null(batch, "")
                 if per_sentence:
@@ -102,7 +102,7 @@ class Encoder:
                 # Only the distinct words of the batch are encoded; their ids are then laid out by place.
                 coded = words.dictionary_encode()
                 which = coded.indices.to_numpy(zero_copy_only=False)
-                ids = [word_ids(word) for word in coded.dictionary.to_pylist()]
+                ids = [remembered(w) if len(w) <= LONGEST else codec.encode_ordinary(w) for w in coded.dictionary.to_pylist()]
                 size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
                 flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=size.sum())
                 begin = (np.cumsum(size) - size)[which]
