@@ -5,22 +5,28 @@ import pytest
 
 from wordloom.llm.quality_rules import quality_rules
 
-PROSE = "Here is a sentence with enough words to be kept by the rules number {}. "
+
+
+def prose(n, mark="x"):
+    """Sentences of words that never repeat."""
+    return "".join(" ".join(f"{mark}{k}word{j}" for j in range(12)) + ". " for k in range(n))
+
+
 TEXTS = [
     None,
     "",
     " \n\t ",
     "short text.",
-    "".join(PROSE.format(k) for k in range(8)),
-    "\n".join(PROSE.format(k) for k in range(8)) + "\nHome | About | Contact | Login\nAll rights reserved.",
+    prose(8),
+    "\n".join(prose(1, f"l{k}") for k in range(8)) + "\nHome | About | Contact | Login\nAll rights reserved.",
     "\n".join("Home | About | Contact | Login | Page%d | More%d" % (k, k) for k in range(20)),
     "\n".join("BUY!! NOW%d!! THIS!! OFFER%d!!" % (k, k) for k in range(30)),
     "\n".join("wor%d### and*** a%d%%%%%% b&&&" % (k, k) for k in range(30)),
     "same words again and " * 30,
-    "one line.\none line.\n\n\none line.\n" + "".join(PROSE.format(k) for k in range(8)),
+    "one line.\none line.\n\n\none line.\n" + prose(8),
     "a b a b a b a b " + " ".join(f"w{k}" for k in range(60)) + ".",
     "x " * 20000,
-    "\x1cword part next.\n" * 3 + "".join(PROSE.format(k) for k in range(6)),
+    "\x1cword part next.\n" * 3 + prose(6),
 ]
 
 
@@ -51,7 +57,7 @@ def test_verdicts(judged):
 
 
 def test_only_failing_lines_go(judged):
-    assert judged[5].clean_text == "\n".join(PROSE.format(k) for k in range(8))
+    assert judged[5].clean_text == "\n".join(prose(1, f"l{k}") for k in range(8))
     assert judged[4].clean_text == TEXTS[4]
     assert judged[0].clean_text is None
 

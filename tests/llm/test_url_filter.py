@@ -27,9 +27,13 @@ def rule(host, path):
     return max(fits)[1:] if fits else (None, None)
 
 
+def url(k, bad):
+    return f"http://site{k % 7}.{'bad' if bad else 'good'}.example/{'win-cash-now' if bad else 'article'}/{k ** (1 + k % 5)}"
+
+
 @pytest.fixture(scope="module")
 def labelled(spark):
-    rows = [(f"http://site{k % 7}.{'bad.example' if k % 3 == 0 else 'good.example'}/{'win-cash-now' if k % 3 == 0 else 'article'}/{k}", k % 3 == 0) for k in range(300)]
+    rows = [(url(k, k % 3 == 0), k % 3 == 0) for k in range(300)]
     return spark.createDataFrame([*rows, ("http://skipped.example/", None)], "url string, blocked boolean")
 
 
@@ -48,7 +52,7 @@ def test_rules_hosts_and_paths(spark, model):
 
 
 def test_unseen_urls_are_told_apart(spark, model):
-    rows = [(k, f"http://site{k}.{'bad' if k % 2 else 'good'}.example/{'win-cash-now' if k % 2 else 'article'}/{k * 37}") for k in range(1000, 1100)]
+    rows = [(k, url(k, k % 2)) for k in range(1000, 1100)]
     judged = url_filter.judge(spark.createDataFrame(rows, "page_id bigint, url string"), model).collect()
     assert sum((r.verdict == "block") == bool(r.page_id % 2) for r in judged) >= 97
 
