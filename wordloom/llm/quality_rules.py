@@ -8,10 +8,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.words import GAP
+from wordloom.llm.words import GAP, WORD
 
 # Fixed values of the result: characters that count as symbols, and the limits of the base rules.
-SYMBOLS = "#*$%&|<>"
+SYMBOL = r"[#*$%&|<>]"
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 
@@ -19,7 +19,6 @@ MAX_REPEATED_PERCENT = 50
 MIN_LEFT_PERCENT = 60
 #: A line with more symbols than one in so many characters is layout, not prose.
 SYMBOL_EVERY = 14
-BLANKS = " \t\n\x0b\f\r"
 #: The end of a sentence anywhere in a line: a long line that was cut off is still prose.
 ENDS = r"""[.!?…:;"”’»)\]](?:[\x20\x09-\x0D]|$)"""
 SHOUTS = r"!![^!]+!!"
@@ -31,12 +30,16 @@ BOILERPLATE = (
 )
 
 
+def n_symbols(text: Column) -> Column:
+    return F.length(text) - F.length(F.regexp_replace(text, SYMBOL, ""))
+
+
 def line_fails(line: Column) -> Column:
     """Whether a line fails a rule: punctuation, navigation or boilerplate. Blank lines pass."""
-    symbols = F.length(line) - F.length(F.translate(line, SYMBOLS, ""))
+    symbols = n_symbols(line)
     punctuation = (symbols * SYMBOL_EVERY > F.length(line)) | ~line.rlike(ENDS) | line.rlike(SHOUTS)
     navigation = line.rlike(NAVIGATION)
-    return (F.length(F.translate(line, BLANKS, "")) > 0) & (punctuation | navigation | line.rlike(BOILERPLATE))
+    return line.rlike(WORD) & (punctuation | navigation | line.rlike(BOILERPLATE))
 
 
 def _repeated(hashes: str) -> list[tuple[str, str]]:
@@ -45,11 +48,11 @@ def _repeated(hashes: str) -> list[tuple[str, str]]:
     Windows are sorted with their places only where a text has a repeated one at all.
     """
     return [
-        ("ranked", f"CASE WHEN size(array_distinct({hashes})) < size({hashes}) THEN array_sort(transform({hashes}, (x, i) -> struct(x AS h, i AS i))) END"),
+        ("ranked", f"CASE WHEN size(array_distinct({hashes})) < size({hashes}) THEN sort_array(transform({hashes}, (x, i) -> struct(x AS h, i AS i))) END"),
         ("again", "filter(ranked, (e, k) -> (k > 0 AND get(ranked, k - 1).h = e.h) OR get(ranked, k + 1).h <=> e.h)"),
         (
             "n_repeat_words",
-            "coalesce(aggregate(array_sort(transform(again, e -> e.i)), struct(-3 AS last, 0L AS n), "
+            "coalesce(aggregate(sort_array(transform(again, e -> e.i)), struct(-3 AS last, 0L AS n), "
             "(a, i) -> struct(i AS last, a.n + least(3, i - a.last) AS n), a -> a.n), 0L)",
         ),
     ]
@@ -69,19 +72,21 @@ def quality_rules(docs: DataFrame, min_left_percent: int = MIN_LEFT_PERCENT) ->
     rows = rows.withColumn("hashes", F.expr("CASE WHEN size(words) > 2 THEN transform(sequence(0, size(words) - 3), i -> xxhash64(get(words, i), get(words, i + 1), get(words, i + 2))) ELSE array() END"))
     for name, sql in _repeated("hashes"):
         rows = rows.withColumn(name, F.expr(sql))
-    worded = F.filter("lines", lambda x: F.length(F.translate(x, BLANKS, "")) > 0)
+    worded = F.filter("lines", lambda x: x.rlike(WORD))
     rows = rows.withColumn("worded", worded).withColumn("left", F.filter("lines", lambda x: ~line_fails(x)))
     chars = lambda lines: F.aggregate(lines, F.lit(0).cast("long"), lambda a, x: a + F.length(x))
     n_words = F.size("words").cast("long")
     failed = (n_words < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * n_words)
-    return rows.select(
-        "doc_id",
+    judged = F.struct(
         n_words.alias("n_words"),
-        F.length(F.translate("t", BLANKS, "")).cast("long").alias("word_chars"),
-        (F.length("t") - F.length(F.translate("t", SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        chars("words").alias("word_chars"),
+        n_symbols(F.col("t")).cast("long").alias("n_symbols"),
         (F.size("worded") - F.size(F.array_distinct("worded"))).cast("long").alias("n_dup_lines"),
         "n_repeat_words",
         failed.alias("base_failed"),
         (~failed & (100 * chars("left") >= min_left_percent * chars("lines"))).alias("kept"),
         F.when(~F.col("none"), F.array_join("left", "\n")).alias("clean_text"),
     )
+    # a generator of one row: a caller's filter is not pushed below it, where it would put the arrays' expressions
+    # into the lambdas that read them, once per word
+    return rows.select("doc_id", F.inline(F.array(judged)))
