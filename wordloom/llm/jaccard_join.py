@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,18 +32,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordloom.llm.components import components
-from wordloom.llm.words import shingle_sets
+from wordloom.llm.words import shingle_sets, slices
 from wordloom.session import stage_table
 
 WIDTH = 4
 PERCENT = 85
 #: Entries of a column block, on average.
-CELL = 1 << 20
+CELL = 1 << 21
 #: A column of more than one in so many documents counts as hot.
 HOT_SHARE = 64
 #: Blocks among which the entries of hot columns are dealt, by row.
 HOT_BLOCKS = 1 << 12
 LAST = (1 << 32) - 1
+#: What a hot column has in place of its block in the upper bits of its name.
+HOT_TAG = 0x7FFF
 
 
 def signature(shingles: np.ndarray) -> bytes:
@@ -51,7 +54,7 @@ def signature(shingles: np.ndarray) -> bytes:
 
 def _describe(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """Signature and size of each set; the first row of a batch also names the batch's hot columns."""
-    for batch in batches:
+    for batch in chain.from_iterable(map(slices, batches)):
         ids, sets = batch.column(0), list(shingle_sets(batch.column(1), width))
         hot: list = [None] * len(sets)
         if sets:
@@ -78,15 +81,29 @@ def describe(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 CELLS = "block int, sigs binary, sizes binary, counts binary, shingles binary, held binary"
 
 
+def pack(shingles: np.ndarray) -> bytes:
+    """The low 48 bits of each; the others follow from the block."""
+    return np.ascontiguousarray(shingles.view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+
+
+def unpack(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view(np.uint64).reshape(-1)
+
+
 def _cell(block: int, sigs: np.ndarray, sizes: np.ndarray, owner: np.ndarray, shingles: np.ndarray, held: np.ndarray | None = None) -> dict:
-    """One row of CELLS: entries sorted by owner, owners written once with their number of entries."""
+    """One row of CELLS: entries sorted by owner, owners written once with their number of entries.
+
+    Cells of column blocks hold packed shingles, those of row blocks whole ones and ``held``.
+    """
     who, n = np.unique(owner, return_counts=True)
     return {
         "block": block,
         "sigs": sigs[who].tobytes(),
         "sizes": sizes[who].astype(np.uint32).tobytes(),
         "counts": n.astype(np.uint32).tobytes(),
-        "shingles": shingles.tobytes(),
+        "shingles": shingles.tobytes() if held is not None else pack(shingles),
         "held": b"" if held is None else held.astype(np.uint32).tobytes(),
     }
 
@@ -96,18 +113,20 @@ def _entries(table: pa.Table) -> tuple[np.ndarray, ...]:
     join = lambda name, kind: np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
     sigs, at, back = np.unique(join("sigs", "V16"), return_index=True, return_inverse=True)
     owner = np.repeat(back.astype(np.int32), join("counts", np.uint32))
-    return sigs, join("sizes", np.uint32)[at], owner, join("shingles", np.uint64), join("held", np.uint32)
+    held = join("held", np.uint32)
+    shingles = join("shingles", np.uint64) if len(held) else unpack(b"".join(table.column("shingles").to_pylist()))
+    return sigs, join("sizes", np.uint32)[at], owner, shingles, held
 
 
 def _to_cells(batches: Iterator[pa.RecordBatch], width: int, blocks: int, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in chain.from_iterable(map(slices, batches)):
         sets = {signature(s): s for s in shingle_sets(batch.column(0), width) if len(s)}
         if not sets:
             continue
         sigs = np.frombuffer(b"".join(sets), "V16")
         sizes = np.array([len(s) for s in sets.values()])
         owner, shingles = np.repeat(np.arange(len(sets)), sizes), np.concatenate(list(sets.values()))
-        block = (shingles % np.uint64(blocks)).astype(np.int64)
+        block = ((shingles >> np.uint64(32)) % np.uint64(blocks)).astype(np.int64)
         if len(hot):
             near = np.minimum(np.searchsorted(hot, shingles), len(hot) - 1)
             dealt = np.frombuffer(b"".join(sets), np.uint64)[::2] % np.uint64(HOT_BLOCKS)
@@ -123,8 +142,10 @@ CELL_SCHEMA = pa.schema([("block", pa.int32()), *((c, pa.binary()) for c in ("si
 
 def _column_block(table: pa.Table, row_blocks: int) -> pa.Table:
     """Entries of columns with two rows at least, with the number of rows, dealt to row blocks."""
-    hot = table.column("block")[0].as_py() < 0
+    block = table.column("block")[0].as_py()
+    hot = block < 0
     sigs, sizes, owner, shingles, _ = _entries(table)
+    shingles = shingles | np.uint64(HOT_TAG if hot else block % HOT_TAG) << np.uint64(48)
     order = np.lexsort((owner, shingles))
     owner, shingles = owner[order], shingles[order]
     new = np.ones(len(order), bool)

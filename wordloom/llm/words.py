@@ -7,6 +7,8 @@ the bytes alone, so every task and every run agrees on them.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -16,7 +18,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 GAP = r"[\x20\x09-\x0D]+"
 
 #: Bytes of text whose positions are held as 64-bit numbers at a time.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 
 _rng = np.random.default_rng(20)
 _VALUE = _rng.integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -44,6 +46,14 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def slices(batch: pa.RecordBatch, limit: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """Pieces of a batch of about ``limit`` bytes, a row at least; memory of the batch is returned after the last."""
+    step = max(1, int(batch.num_rows * limit / max(1, batch.nbytes)))
+    for k in range(0, batch.num_rows, step):
+        yield batch.slice(k, step)
+    pa.default_memory_pool().release_unused()
+
+
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """All bytes of a text column and the n + 1 bounds of its rows; null counts as empty."""
     array = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
