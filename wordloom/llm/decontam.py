@@ -65,7 +65,7 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, p
     """(doc_id, item_id, n_shared, n_item, containment) of every benchmark item a document holds.
 
     ``docs`` has doc_id and text, ``benchmark`` item_id and text, both any other columns. Rows of one
-    doc_id count as one document, repeated rows change nothing; a null doc_id or item_id is left out.
+    doc_id are taken as one text that repeats and change nothing; a null doc_id or item_id is left out.
     Null or empty texts, or texts without words, hold nothing and are held by nothing. Equal items are
     all reported. Empty tables give no rows.
     """
@@ -84,6 +84,5 @@ def contained_items(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, p
     chosen = docs.join(small(candidates.select("doc_id").distinct()), "doc_id", "left_semi")
     shared = _doc_shingles(chosen, widths).join(small(of_items), ["width", "shingle"]).select("doc_id", "item_id", "need", "n_item", "shingle")
     counted = shared.distinct().groupBy("doc_id", "item_id", "need", "n_item").agg(F.count("*").alias("n_shared")).where("n_shared >= need")
-    # a document may also pass for an item through rows of its own that no sketch pointed to: only candidates count
     found = counted.join(small(candidates.select("doc_id", "item_id")), ["doc_id", "item_id"], "left_semi")
     return found.select("doc_id", "item_id", "n_shared", "n_item", (F.col("n_shared") / F.col("n_item")).alias("containment"))
