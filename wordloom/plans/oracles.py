@@ -37,7 +37,7 @@ MODEL_WORDS = f"""
 used AS (
   SELECT doc_id % 2 AS shard, CAST(unnest(vec[1:{SIZE} - n_pads]) AS INTEGER) AS token_id FROM samples),
 per_shard AS (
-  SELECT shard, token_id FROM used GROUP BY ALL HAVING count(*) >= {MIN_COUNT}),
+  SELECT shard, token_id FROM used GROUP BY ALL HAVING count(*) >= {MODEL.min_count}),
 sizes AS (SELECT shard, count(*) AS size FROM per_shard GROUP BY ALL)"""
 
 WORDS = f"""
@@ -238,7 +238,7 @@ ORACLES: dict[str, str] = {
     "word2vec_coverage": f"""{TO_SAMPLES}
         SELECT token_id, CAST({MODEL.dim} AS INTEGER) AS dim, true AS finite
         FROM (SELECT CAST(unnest(vec[1:{SIZE} - n_pads]) AS INTEGER) AS token_id FROM samples)
-        GROUP BY token_id HAVING count(*) >= {MIN_COUNT}""",
+        GROUP BY token_id HAVING count(*) >= {MODEL.min_count}""",
     "ensemble_coverage": f"""{_with(LINES, SENTENCES, TOKENS, _dictionary('tokens'), IDS, WINDOWS, MODEL_WORDS)}
         SELECT token_id, CAST(count(*) AS INTEGER) AS n_models, CAST({MODEL.dim} AS INTEGER) AS dim, true AS finite
         FROM per_shard GROUP BY token_id""",
