@@ -23,7 +23,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wordloom.llm.words import fold, mix, word_hashes
+from wordloom.llm.words import fold, mix, slices, word_hashes
 from wordloom.session import stage_table
 
 #: Bits per stored level and hash functions: about one false hit in a hundred.
@@ -76,16 +76,9 @@ def _packed(kind: int, keys: np.ndarray, counts: np.ndarray, blocks: int) -> lis
     return [{"kind": kind, "block": int(block[p[0]]), "keys": keys[p].tobytes(), "counts": counts[p].astype(np.uint32).tobytes()} for p in np.split(order, cuts) if len(p)]
 
 
-def _slices(batch: pa.RecordBatch, limit: int = 1 << 24) -> Iterator[pa.RecordBatch]:
-    """Pieces of a batch of about ``limit`` bytes, a row at least."""
-    step = max(1, int(batch.num_rows * limit / max(1, batch.nbytes)))
-    for k in range(0, batch.num_rows, step):
-        yield batch.slice(k, step)
-
-
 def _count(batches: Iterator[pa.RecordBatch], blocks: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for piece in _slices(batch):
+        for piece in slices(batch, 1 << 22):
             words, pairs, _ = tokens(piece.column(0))
             rows = [row for kind, keys in ((WORD, words), (PAIR, pairs)) for row in _packed(kind, *np.unique(keys, return_counts=True), blocks)]
             yield from pa.Table.from_pylist(rows, COUNT_SCHEMA).to_batches(max_chunksize=1 << 10)
@@ -238,7 +231,7 @@ def _score(batches: Iterator[pa.RecordBatch], shared: Broadcast, blocks: int) ->
     """One row per text, and per block one packed row of the words whose exact counts are not at hand."""
     model = shared.value
     for batch in batches:
-        for piece in _slices(batch):
+        for piece in slices(batch):
             words, pairs, per_row = tokens(piece.column(2))
             begin = np.cumsum(per_row) - per_row
             counts = model.hot(words)
