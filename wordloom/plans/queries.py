@@ -27,9 +27,8 @@ CUT_START, CUT_LENGTH = 16, 32
 FOLD_CHUNK = 3
 DIVISOR = 7
 
-# The models of the registered queries: one epoch over the words that samples hold twelve times, as a word
-# that the corpus holds three or four times does.
-MODEL = Settings(dim=20, epochs=1, min_count=12, n_models=2)
+# The models of the registered queries: one epoch over all words.
+MODEL = Settings(dim=20, epochs=1, min_count=1, n_models=2)
 
 QUERIES: dict[str, Query] = {}
 
