@@ -102,3 +102,28 @@ def test_nothing_to_train_on_and_no_rows(spark):
     assert [(r.n_tokens, r.n_known, r.train_tokens, r.base_score) for r in sorted(found)] == [(3, 0, 0, 0), (3, 0, 0, 0), (1, 0, 0, 0)]
     docs = spark.createDataFrame([], "doc_id bigint, text string, score double")
     assert lm_bloom.scores(docs, F.lit(True)).count() == 0
+
+
+def test_every_pair_and_word_is_in_the_model(spark):
+    """A pair and words seen once score as brute force over exact levels has them."""
+    rows = [(0, "alpha beta"), (1, "gamma delta"), (2, "alpha beta"), (3, "alpha delta")]
+    found = {r.doc_id: r for r in scored(spark, rows, "doc_id < 2")}
+    n, v = 6, 5  # four words and two ends
+    word = lambda c: 0.6 * (c + 1) / (n + v + 1)
+    ends = lm_bloom.estimate(np.array([2]))[0]
+    seen = math.log10(0.4 * 1 / 2 + word(1)) + math.log10(0.4 + word(1)) + math.log10(0.4 + word(ends))
+    unseen = math.log10(0.4 * 1 / 2 + word(1)) + math.log10(word(1)) + math.log10(0.4 + word(ends))
+    assert found[2].score == pytest.approx(seen, rel=1e-9)
+    assert found[3].score == pytest.approx(unseen, rel=1e-9)
+
+
+def test_a_filter_beyond_the_broadcast_bound_gives_the_same_scores(spark, monkeypatch):
+    rows = [*corpus(120), (1, "w1 a repeated id"), (5000, "w1 w2 " * 9)]
+    held = sorted(map(tuple, scored(spark, rows)))
+    monkeypatch.setattr(lm_bloom, "MAX_BYTES", 0)
+    monkeypatch.setattr(lm_bloom, "CELL", 40)  # more blocks than words in some pieces
+    by_block = sorted(map(tuple, scored(spark, rows)))
+    assert [r[:4] for r in by_block] == [r[:4] for r in held]
+    monkeypatch.setattr(lm_bloom, "MAX_BYTES", 128 << 20)
+    for a, b in zip(by_block, sorted(map(tuple, scored(spark, rows))), strict=True):
+        assert a == pytest.approx(b, rel=1e-9)

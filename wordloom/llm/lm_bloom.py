@@ -6,10 +6,10 @@ is missing. The probability of a word after another is a fixed mix of the pair's
 word's count and the word's own smoothed share.
 
 Counting is blocked by key hash: a task sends the distinct keys of a batch and their counts as
-packed numbers, and each block is summed by numpy. The filter's size is bounded by ``MAX_BYTES``: if all
-levels from ``LEAST_PAIR`` on would not fit, pairs of the lowest levels are left out of the model
-until they do, by a histogram of all counts. Base scores use exact counts: those of the most frequent words are
-broadcast (at most ``HOT``), all others meet their texts in a shuffle.
+packed numbers, and each block is summed by numpy. Every word and pair is stored, whatever its count, so the
+filter grows with the input. It is broadcast up to ``MAX_BYTES``, by a histogram of all counts; beyond that each block
+of it meets the distinct keys of the texts' pieces in a shuffle, with the same scores. Base scores use exact counts: those
+of the most frequent words are broadcast (at most ``HOT``), all others meet their texts in a shuffle.
 """
 
 from __future__ import annotations
@@ -28,9 +28,8 @@ from wordloom.session import stage_table
 
 #: Bits per stored level and hash functions: about one false hit in a hundred.
 BITS, HASHES = 10, 7
+#: Largest filter that is broadcast.
 MAX_BYTES = 128 << 20
-#: Lowest level of a pair that is kept: 2 leaves out pairs seen once.
-LEAST_PAIR = 2
 #: Weight of the pair's share.
 PAIR_WEIGHT = 0.4
 #: Most words whose exact counts are broadcast.
@@ -69,11 +68,16 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return words, fold(both, 2)[::2] if len(both) else words, per_row + 1
 
 
-def _packed(kind: int, keys: np.ndarray, counts: np.ndarray, blocks: int) -> list[dict]:
+def _by_block(keys: np.ndarray, blocks: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Each block that holds some of the keys, in order: its number, its keys and their places."""
     block = (keys % np.uint64(blocks)).astype(np.int64)
     order = np.argsort(block, kind="stable")
     cuts = np.flatnonzero(np.diff(block[order])) + 1
-    return [{"kind": kind, "block": int(block[p[0]]), "keys": keys[p].tobytes(), "counts": counts[p].astype(np.uint32).tobytes()} for p in np.split(order, cuts) if len(p)]
+    return ((int(block[p[0]]), keys[p], p) for p in np.split(order, cuts) if len(p))
+
+
+def _packed(kind: int, keys: np.ndarray, counts: np.ndarray, blocks: int) -> list[dict]:
+    return [{"kind": kind, "block": block, "keys": part.tobytes(), "counts": counts[p].astype(np.uint32).tobytes()} for block, part, p in _by_block(keys, blocks)]
 
 
 def _count(batches: Iterator[pa.RecordBatch], blocks: int) -> Iterator[pa.RecordBatch]:
@@ -88,7 +92,7 @@ SUMS = "kind int, block int, keys binary, counts binary, n bigint, distinct bigi
 
 
 def _sum(table: pa.Table) -> pa.Table:
-    """Exact counts of one block, the number of keys per level, and the keys that a model may hold."""
+    """The keys of one block with the exact counts of words and the levels of pairs, a byte each, and the number of keys per level."""
     kind, block = table.column("kind")[0].as_py(), table.column("block")[0].as_py()
     keys = np.frombuffer(b"".join(table.column("keys").to_pylist()), np.uint64)
     part = np.frombuffer(b"".join(table.column("counts").to_pylist()), np.uint32)
@@ -97,8 +101,7 @@ def _sum(table: pa.Table) -> pa.Table:
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
     counts = np.add.reduceat(part[order].astype(np.int64), first)
     keys, levels = keys[first], level(counts)
-    keep = levels >= (LEAST_PAIR if kind == PAIR else 1)
-    row = {"kind": kind, "block": block, "keys": keys[keep].tobytes(), "counts": counts[keep].tobytes(), "n": int(counts.sum()), "distinct": len(keys), "levels": np.bincount(levels, minlength=64).tolist()}
+    row = {"kind": kind, "block": block, "keys": keys.tobytes(), "counts": counts.tobytes() if kind == WORD else levels.astype(np.uint8).tobytes(), "n": int(counts.sum()), "distinct": len(keys), "levels": np.bincount(levels, minlength=64).tolist()}
     return pa.Table.from_pylist([row], SUM_SCHEMA)
 
 
@@ -115,11 +118,13 @@ def place(h: np.ndarray, k: int, bits: np.ndarray) -> np.ndarray:
     return ((one + np.uint64(k) * two & np.uint64(0xFFFFFFFF)) * bits) >> np.uint64(32)
 
 
-def _build(batches: Iterator[pa.RecordBatch], low: int) -> Iterator[pa.RecordBatch]:
+def _build(batches: Iterator[pa.RecordBatch], low: int = 1) -> Iterator[pa.RecordBatch]:
     """The filter of each block of counts, ``BITS`` bits per stored level."""
     for batch in batches:
-        for row in batch.to_pylist():
-            keys, levels = np.frombuffer(row["keys"], np.uint64), level(np.frombuffer(row["counts"], np.int64))
+        for i in range(batch.num_rows):
+            row = batch.slice(i, 1).to_pylist()[0]
+            keys = np.frombuffer(row["keys"], np.uint64)
+            levels = level(np.frombuffer(row["counts"], np.int64)) if row["kind"] == WORD else np.frombuffer(row["counts"], np.uint8).astype(np.int64)
             n = np.maximum(0, levels - low + 1)
             places = np.repeat(keys, n)
             steps = np.arange(len(places)) - np.repeat(np.cumsum(n) - n, n) + low
@@ -138,7 +143,7 @@ FILTER_SCHEMA = pa.schema([("kind", pa.int32()), ("block", pa.int32()), ("bits",
 class Filter:
     """The blocks of a filter end to end."""
 
-    def __init__(self, parts: list[bytes], low: int):
+    def __init__(self, parts: list[bytes], low: int = 1):
         sizes = np.array([len(p) * 8 for p in parts], np.uint64)
         self.low, self.sizes, self.begin = low, sizes, np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.uint64)
         self.bits = np.frombuffer(b"".join(parts), np.uint8)
@@ -158,24 +163,30 @@ class Filter:
         return found
 
 
+def log_probabilities(words: np.ndarray, pairs: np.ndarray, per_row: np.ndarray, n: int, distinct: int, texts: int) -> np.ndarray:
+    """log10 of each token's probability after the token before it, from the levels of its word and pair."""
+    count, pair = estimate(words), estimate(pairs)
+    before = np.empty_like(count)
+    before[1:] = count[:-1]
+    before[np.cumsum(per_row) - per_row] = texts
+    share = np.where(before > 0, np.minimum(1, pair / np.maximum(before, 1)), 0)
+    return np.log10(PAIR_WEIGHT * share + (1 - PAIR_WEIGHT) * (count + 1) / (n + distinct + 1))
+
+
 class Model:
-    """What scoring needs: both filters, the exact counts of hot words and the totals."""
+    """What scoring needs: both filters if they are broadcast, the exact counts of hot words and the totals."""
 
-    def __init__(self, words: Filter, pairs: Filter, hot_keys: np.ndarray, hot_counts: np.ndarray, n: int, distinct: int, texts: int):
+    def __init__(self, words: Filter | None, pairs: Filter | None, hot_keys: np.ndarray, hot_counts: np.ndarray, n: int, distinct: int, texts: int):
         self.words, self.pairs, self.hot_keys, self.hot_counts = words, pairs, hot_keys, hot_counts
         self.n, self.distinct, self.texts = n, distinct, texts
 
     def log_probabilities(self, words: np.ndarray, pairs: np.ndarray, per_row: np.ndarray) -> np.ndarray:
         """log10 of each token's probability after the token before it."""
-        known, back = np.unique(words, return_inverse=True)
-        count = estimate(self.words.levels(known))[back]
-        before = np.empty_like(count)
-        before[1:] = count[:-1]
-        before[np.cumsum(per_row) - per_row] = self.texts
-        known, back = np.unique(pairs, return_inverse=True)
-        pair = estimate(self.pairs.levels(known))[back]
-        share = np.where(before > 0, np.minimum(1, pair / np.maximum(before, 1)), 0)
-        return np.log10(PAIR_WEIGHT * share + (1 - PAIR_WEIGHT) * (count + 1) / (self.n + self.distinct + 1))
+        levels = []
+        for held, keys in ((self.words, words), (self.pairs, pairs)):
+            known, back = np.unique(keys, return_inverse=True)
+            levels.append(held.levels(known)[back])
+        return log_probabilities(*levels, per_row, self.n, self.distinct, self.texts)
 
     def hot(self, keys: np.ndarray) -> np.ndarray:
         """Exact counts of hot words, 0 for others."""
@@ -199,11 +210,9 @@ def _histogram(counts: DataFrame, kind: int) -> np.ndarray:
     return out
 
 
-def _least_level(per_level: np.ndarray, low: int, room: int) -> int:
-    """The lowest level from which on all stored levels fit into ``room`` bytes."""
-    while low < 63 and sum((q - low + 1) * int(per_level[q]) for q in range(low, 64)) * BITS > 8 * room:
-        low += 1
-    return low
+def _filter_bytes(per_level: np.ndarray, blocks: int) -> int:
+    """Most bytes that a filter of all levels takes, each block rounded up to 8."""
+    return sum(q * int(k) for q, k in enumerate(per_level)) * BITS // 8 + 16 * blocks
 
 
 def _hot_words(counts: DataFrame, per_level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -223,23 +232,33 @@ def _hot_words(counts: DataFrame, per_level: np.ndarray) -> tuple[np.ndarray, np
     return keys[order], np.frombuffer(b"".join(r["counts"] for r in rows), np.int64)[order]
 
 
-SCORES = "doc_id bigint, row bigint, n_tokens bigint, known bigint, base double, score double, block int, rows binary, keys binary"
-SCORE_SCHEMA = pa.schema([(n, {"bigint": pa.int64(), "double": pa.float64(), "int": pa.int32(), "binary": pa.binary()}[k]) for n, k in (c.split() for c in SCORES.split(", "))])
+SCORES = "doc_id bigint, row bigint, n_tokens bigint, known bigint, base double, score double, block int, rows binary, keys binary, kind int, piece bigint, text string"
+SCORE_SCHEMA = pa.schema([(n, {"bigint": pa.int64(), "double": pa.float64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string()}[k]) for n, k in (c.split() for c in SCORES.split(", "))])
 
 
 def _score(batches: Iterator[pa.RecordBatch], shared: Broadcast, blocks: int) -> Iterator[pa.RecordBatch]:
-    """One row per text, and per block one packed row of the words whose exact counts are not at hand."""
+    """One row per text, and per block one packed row of the words whose exact counts are not at hand.
+
+    Without a filter at hand texts have no score yet but the piece they are in, and there is one packed row
+    per piece, kind and block of the distinct keys whose levels are asked for.
+    """
     model = shared.value
     for batch in batches:
         for piece in slices(batch):
             words, pairs, per_row = tokens(piece.column(2))
             begin = np.cumsum(per_row) - per_row
             counts = model.hot(words)
-            logs = model.log_probabilities(words, pairs, per_row)
             add = lambda x: np.add.reduceat(x, begin) if len(x) else x
             ids = piece.column(1).to_numpy()
-            done = {"doc_id": piece.column(0), "row": ids, "n_tokens": per_row, "known": add((counts > 0).astype(np.int64)), "base": add(np.log10(counts + 1.0)), "score": add(logs)}
-            yield pa.RecordBatch.from_arrays([(done[f.name] if f.name == "doc_id" else pa.array(done[f.name], f.type)) if f.name in done else pa.nulls(len(ids), f.type) for f in SCORE_SCHEMA], schema=SCORE_SCHEMA)
+            done = {"doc_id": piece.column(0), "row": ids, "n_tokens": per_row, "known": add((counts > 0).astype(np.int64)), "base": add(np.log10(counts + 1.0))}
+            if model.words is not None:
+                done["score"] = add(model.log_probabilities(words, pairs, per_row))
+            else:
+                done |= {"piece": np.full(len(ids), ids[0]), "text": piece.column(2)}
+                for kind, keys in ((WORD, words), (PAIR, pairs)):
+                    rows = [{"piece": int(ids[0]), "kind": kind, "block": block, "keys": part.tobytes()} for block, part, _ in _by_block(np.unique(keys), blocks)]
+                    yield from pa.Table.from_pylist(rows, SCORE_SCHEMA).to_batches(max_chunksize=1 << 10)
+            yield pa.RecordBatch.from_arrays([(done[f.name] if f.name in ("doc_id", "text") else pa.array(done[f.name], f.type)) if f.name in done else pa.nulls(len(ids), f.type) for f in SCORE_SCHEMA], schema=SCORE_SCHEMA)
             cold = np.flatnonzero(counts == 0)
             owner = np.repeat(np.arange(len(ids)), per_row)[cold]
             block = (words[cold] % np.uint64(blocks)).astype(np.int64)
@@ -267,6 +286,39 @@ def _look_up(asked: pa.Table, counts: pa.Table) -> pa.Table:
     return pa.table({"row": ids, "more_known": add(np.ones(hit.sum())).astype(np.int64), "more_base": add(np.log10(found[hit] + 1.0)).astype(np.float64)})
 
 
+def _probe(asked: pa.Table, filters: pa.Table) -> pa.Table:
+    """The levels of the keys that each piece asks one block for; a block without a filter holds none."""
+    held = Filter(filters.column("bits").to_pylist() or [bytes(8)])
+    keys = asked.column("keys").to_pylist()
+    found = held.levels(np.frombuffer(b"".join(keys), np.uint64)).astype(np.uint8)
+    ends = np.cumsum([len(k) // 8 for k in keys], dtype=np.int64)
+    levels = [part.tobytes() for part in np.split(found, ends[:-1])] if keys else []
+    return pa.table({"piece": asked.column("piece"), "kind": asked.column("kind"), "block": asked.column("block"), "levels": pa.array(levels, pa.binary())})
+
+
+def _score_piece(texts: pa.Table, answers: pa.Table, blocks: int, n: int, distinct: int, trained: int) -> pa.Table:
+    """(row, score) of one piece's texts from the levels that the blocks gave."""
+    words, pairs, per_row = tokens(texts.column("text"))
+    held = {(a["kind"], a["block"]): a["levels"] for a in answers.to_pylist()}
+    levels = []
+    for kind, keys in ((WORD, words), (PAIR, pairs)):
+        known, back = np.unique(keys, return_inverse=True)
+        found = np.zeros(len(known), np.int64)
+        for block, _, places in _by_block(known, blocks):
+            found[places] = np.frombuffer(held[kind, block], np.uint8)
+        levels.append(found[back])
+    logs = log_probabilities(*levels, per_row, n, distinct, trained)
+    return pa.table({"row": texts.column("row"), "score": np.add.reduceat(logs, np.cumsum(per_row) - per_row)})
+
+
+def _scores_by_block(scored: DataFrame, filters: DataFrame, blocks: int, n: int, distinct: int, trained: int) -> DataFrame:
+    """(row, score) of the texts whose pieces asked for levels: each block answers, then each piece is scored."""
+    asked = scored.where("kind is not null").select("piece", "kind", "block", "keys")
+    answers = asked.groupBy("kind", "block").cogroup(filters.groupBy("kind", "block")).applyInArrow(lambda a, f: _probe(a, f), "piece bigint, kind int, block int, levels binary")
+    texts = scored.where("block is null").select("piece", "row", "text")
+    return texts.groupBy("piece").cogroup(answers.groupBy("piece")).applyInArrow(lambda t, a: _score_piece(t, a, blocks, n, distinct, trained), "row bigint, score double")
+
+
 def scores(docs: DataFrame, training: Column) -> DataFrame:
     """(doc_id, n_tokens, n_known, train_tokens, base_score, score) per row of ``docs`` (doc_id, text, any other columns).
 
@@ -282,21 +334,26 @@ def scores(docs: DataFrame, training: Column) -> DataFrame:
     totals = counts.where(F.col("kind") == WORD).agg(F.sum("n"), F.sum("distinct")).first()
     n, distinct = int(totals[0] or 0), int(totals[1] or 0)
     per_word, per_pair = _histogram(counts, WORD), _histogram(counts, PAIR)
-    word_low = _least_level(per_word, 1, MAX_BYTES // 2)
-    pair_low = _least_level(per_pair, LEAST_PAIR, MAX_BYTES // 2)
-    built = {WORD: {}, PAIR: {}}
-    for kind, low in ((WORD, word_low), (PAIR, pair_low)):
-        for r in counts.where(F.col("kind") == kind).select("kind", "block", "keys", "counts").mapInArrow(partial(_build, low=low), FILTERS).collect():  # at most MAX_BYTES
-            built[kind][r["block"]] = r["bits"]
-    filters = [Filter([built[kind].get(b, bytes(8)) for b in range(blocks)], low) for kind, low in ((WORD, word_low), (PAIR, pair_low))]
-    model = spark.sparkContext.broadcast(Model(*filters, *_hot_words(counts, per_word), n, distinct, int(size[1] or 0)))
+    trained = int(size[1] or 0)
+    filters = counts.select("kind", "block", "keys", "counts").mapInArrow(_build, FILTERS)
+    at_hand = _filter_bytes(per_word, blocks) + _filter_bytes(per_pair, blocks) <= MAX_BYTES
+    both = [None, None]
+    if at_hand:
+        built = {(r["kind"], r["block"]): r["bits"] for r in filters.collect()}  # at most MAX_BYTES
+        both = [Filter([built.get((kind, b), bytes(8)) for b in range(blocks)]) for kind in (WORD, PAIR)]
+        del built
+    model = spark.sparkContext.broadcast(Model(*both, *_hot_words(counts, per_word), n, distinct, trained))
     rows = texts.select(F.col("doc_id").cast("bigint"), F.monotonically_increasing_id(), "text")
     scored = stage_table(rows.mapInArrow(partial(_score, shared=model, blocks=blocks), SCORES), "scores")
-    asked = scored.where("block is not null").select("block", "rows", "keys")
+    model.destroy()  # what it was for is staged
+    asked = scored.where("block is not null and kind is null").select("block", "rows", "keys")
     exact = counts.where(F.col("kind") == WORD).select("block", "keys", "counts")
     found = asked.groupBy("block").cogroup(exact.groupBy("block")).applyInArrow(lambda a, c: _look_up(a, c), "row bigint, more_known bigint, more_base double")
     more = found.groupBy("row").agg(F.sum("more_known").alias("more_known"), F.sum("more_base").alias("more_base"))
-    of_texts = scored.where("block is null").join(more, "row", "left")
+    of_texts = scored.where("block is null")
+    if not at_hand:
+        of_texts = of_texts.drop("score").join(_scores_by_block(scored, filters, blocks, n, distinct, trained), "row")
+    of_texts = of_texts.join(more, "row", "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     return of_texts.select(
         "doc_id",
