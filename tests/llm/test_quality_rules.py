@@ -77,3 +77,32 @@ def test_no_python_in_the_plan(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id bigint, text string")
     plan = quality_rules(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+CLEAN = [
+    "Il a dit « oui » puis « non » hier.",
+    "Er sagte »ja« und dann »nein« zu ihr.",
+    "La col·laboració paral·lela va bé.",
+    "The regulator said on Monday that the firm's privacy policy, written years ago, broke the law, and that a new plant powered by gas must wait.",
+    "यह एक वाक्य है।",
+    "یہ ایک جملہ ہے۔",
+    "这是一个句子。那是另一个",
+    "ประโยคภาษาไทยนี้ยาวมากและไม่มีเครื่องหมายวรรคตอน",
+]
+LAYOUT = ["Home » News » Sport.", "Start · Kontakt · Impressum.", "« Back | Home | Next »", "Read our privacy policy.", "Click here. Read more. Share this.", "मुख्य पृष्ठ"]
+
+
+def test_prose_passes_and_layout_fails(spark):
+    from pyspark.sql import functions as F
+
+    from wordloom.llm.quality_rules import line_fails
+
+    lines = spark.createDataFrame([(x,) for x in CLEAN + LAYOUT], "line string")
+    failed = {r.line for r in lines.where(line_fails(F.col("line"))).collect()}
+    assert failed == set(LAYOUT)
+
+
+def test_a_clean_document_of_another_script_is_kept(spark):
+    text = "\n".join(" ".join(f"शब्द{k}क{j}" for j in range(12)) + "।" for k in range(8))
+    made = quality_rules(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    assert made.kept and made.clean_text == text
