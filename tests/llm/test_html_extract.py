@@ -70,3 +70,34 @@ def test_joined_without_a_broadcast(spark, monkeypatch):
 def test_dropped_elements(tag):
     found = html_extract.blocks(f"<article><p>a</p><{tag}>x</{tag}><p>b</p></article>")
     assert [b.text for b in found] == ["a", "b"]
+
+
+STORY = "<p>The story goes on and on and on, as stories do.</p>"
+TOLD = "The story goes on and on and on, as stories do."
+SIDE = "<div class='sidebar'><p>Side.</p></div>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<div class='content-sidebar-wrap'><div class='text'>{STORY}</div>{SIDE}</div>",
+        f"<div class='page has-sidebar'><article>{STORY}</article>{SIDE}</div>",
+        f"<div class='header-banner'><main>{STORY}</main>{SIDE}</div>",
+        f"<div id='social'><div>{STORY}</div>{SIDE}</div>",
+        f"<div class='layout'><article>{STORY * 2}</article><div class='related'><article><p>Another story.</p></article></div></div>",
+        f"<div>{STORY}</div><div class='comments'><p>{'A reader wrote more than the author did. ' * 9}</p></div>",
+    ],
+)
+def test_marked_containers_that_hold_the_article(spark, page):
+    assert set(texts(spark, [(1, "http://a.example/1", page)])[1].split("\n")) == {TOLD}
+
+
+def test_title_lead_and_lists_stay_with_the_body(spark):
+    body = STORY * 9
+    rows = [
+        (1, "http://a.example/1", f"<body><div class='post'><h1>Title</h1><p>The lead of the story.</p><div class='body'>{body}</div></div></body>"),
+        (2, "http://b.example/1", f"<body><div class='w'><div class='t'><h1>Title</h1></div><div class='l'><p>The lead of the story.</p></div><div class='b'>{body}</div></div></body>"),
+        (3, "http://c.example/1", f"<body><div><h1>Title</h1><p>The lead of the story.</p><table><tr><td>{body}</td></tr></table></div></body>"),
+    ]
+    want = "\n".join(["Title", "The lead of the story.", *[TOLD] * 9])
+    assert texts(spark, rows) == {1: want, 2: want, 3: want}

@@ -1,10 +1,10 @@
 """HTML extraction by consensus host paths.
 
-Each page's containers are scored by the text they hold, and the page votes for the path of its best
-one: the tags and classes from the root, with digits left out of the classes. Votes are counted per
+Each page's containers are scored by the text they hold, and the page votes for the path of the lowest one
+that holds its best and all blocks of the article: the tags and classes from the root, with digits left out of the classes. Votes are counted per
 host in Spark, and every page is read again along its host's winning path; a page without that path
 uses its own. Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and reader
-comments never count.
+comments never count, but a container that only its name marks does if it holds the article.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from wordloom.session import stage_table
 
 #: A path wins within a page if it holds this share of the best path's score and is deeper.
 SHARE = 0.8
+#: A block of so many bytes, or a heading, is the article's unless more than half of it is links.
+LEAST_BLOCK = 20
 #: What article and main elements gain over plain containers.
 GAIN = 1.5
 
@@ -46,42 +48,82 @@ MARKS = frozenset(
 )
 
 
+#: Marks of what readers wrote, which is not the article however much it is.
+READERS = frozenset("comment comments respond reply replies disqus".split())
+#: Parts of a name that tell what a page has beside its article, or that a container wraps both.
+WITH = frozenset("has with no without".split())
+CONTENT, WRAP = frozenset("content main article post entry page".split()), frozenset("wrap wrapper container layout".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+
+
 class Block:
-    """Text between two block boundaries with the path it stands in."""
+    """Text between two block boundaries with the path it stands in and the marked containers around it."""
+
+    __slots__ = ("heading", "linked", "marks", "path", "text")
 
-    __slots__ = ("linked", "path", "text")
+    def __init__(self, path: str, text: str, linked: int, heading: bool = False, marks: tuple = ()):
+        self.path, self.text, self.linked, self.heading, self.marks = path, text, linked, heading, marks
 
-    def __init__(self, path: str, text: str, linked: int):
-        self.path, self.text, self.linked = path, text, linked
 
+def _marks_of(name: str) -> frozenset:
+    """The marks in a class, id or role, if it is the name of what is marked."""
+    parts = re.split(r"[-_\d]+", name)
+    around = not WITH.isdisjoint(parts) or (parts[-1] in WRAP and not CONTENT.isdisjoint(parts))
+    return frozenset() if around else MARKS.intersection(parts)
 
-def _step(tag: str, attributes: str) -> tuple[str, bool]:
-    """Generalised name of an element and whether its text never counts."""
+
+def _step(tag: str, attributes: str) -> tuple[str, bool, frozenset]:
+    """Generalised name of an element, whether its text never counts, and the marks of its name."""
     if not attributes.strip():
-        return tag, tag in DROPPED
-    classes, marked = [], False
+        return tag, tag in DROPPED, frozenset()
+    classes, marks = [], frozenset()
     for m in NAMES.finditer(attributes):
         for name in (m[1] or m[2] or m[3] or "").lower().split():
-            marked = marked or not MARKS.isdisjoint(re.split(r"[-_\d]+", name))
+            marks |= _marks_of(name)
             if m.group()[:5].lower() == "class":
                 classes.append(re.sub(r"\d+", "", name))
-    plain = tag in ("article", "main", "body", "html")
-    return ".".join([tag, *sorted(set(classes) - {""})]), tag in DROPPED or (marked and not plain)
+    return ".".join([tag, *sorted(set(classes) - {""})]), tag in DROPPED, marks
+
+
+def _without_marked(found: list[Block], readers: list[bool], articles: list[tuple]) -> list[Block]:
+    """The blocks outside of marked containers, of which those that hold the article are none.
+
+    Those are the ones with an article or main element, if there is none outside, and those with most of the
+    page's unlinked text. ``readers`` tells of each marked container, outer ones first, whether it holds what readers
+    wrote, which needs both; ``articles`` has the marked containers around each article or main element.
+    """
+    held, holds, dropped = [0] * len(readers), {k for a in articles for k in a}, set(range(len(readers)))
+    whole = 0
+    for b in found:
+        value = max(0, len(b.text) - b.linked)
+        whole += value
+        for k in b.marks:
+            held[k] += value
+    for k, by_readers in enumerate(readers):
+        most = 2 * held[k] > whole
+        if (most or k in holds) and not (by_readers and not most):
+            only = k in holds and not any(dropped.isdisjoint(a) for a in articles)
+            if only or (most and not by_readers):
+                dropped.discard(k)
+    return [b for b in found if dropped.isdisjoint(b.marks)]
 
 
 def blocks(page: str) -> list[Block]:
     """Blocks of a page in order, without those that never count."""
     out: list[Block] = []
-    stack: list[tuple[str, str, bool]] = []  # tag, path, dropped
+    stack: list[tuple[str, str, bool, tuple]] = []  # tag, path, dropped, marked containers
     pieces: list[str] = []
+    readers: list[bool] = []
+    articles: list[tuple] = []
     linked = in_link = at = 0
+    heading = False
 
     def close() -> None:
         nonlocal linked, in_link
         if pieces:
             text = " ".join(html.unescape("".join(pieces)).split())
             if text and not (stack and stack[-1][2]):
-                out.append(Block(stack[-1][1] if stack else "", text, linked))
+                out.append(Block(stack[-1][1] if stack else "", text, linked, heading, stack[-1][3] if stack else ()))
             pieces.clear()
         linked = 0
 
@@ -103,6 +145,7 @@ def blocks(page: str) -> list[Block]:
                 _skip(stack, closing, pieces, close)
             continue
         close()
+        heading = tag in HEADINGS and not closing
         if tag not in CONTAINERS:
             continue
         if closing:
@@ -111,13 +154,19 @@ def blocks(page: str) -> list[Block]:
                     del stack[k:]
                     break
         elif not (m[4] or m[7] or "").endswith("/"):
-            step, dropped = _step(tag, m[4] or m[7] or "")
-            path, above = (f"{stack[-1][1]}>{step}", stack[-1][2]) if stack else (step, False)
-            stack.append((tag, path, dropped or above))
+            step, dropped, marks = _step(tag, m[4] or m[7] or "")
+            path, above, around = (f"{stack[-1][1]}>{step}", stack[-1][2], stack[-1][3]) if stack else (step, False, ())
+            if tag in ("article", "main"):
+                if not (dropped or above or marks):
+                    articles.append(around)
+            elif marks and tag not in ("body", "html"):
+                around = (*around, len(readers))
+                readers.append(not READERS.isdisjoint(marks))
+            stack.append((tag, path, dropped or above, around))
     if at < len(page):
         pieces.append(page[at:])
     close()
-    return out
+    return _without_marked(out, readers, articles)
 
 
 def _skip(stack: list, closing: str, pieces: list, close) -> None:
@@ -129,11 +178,15 @@ def _skip(stack: list, closing: str, pieces: list, close) -> None:
                 del stack[k:]
                 break
     else:
-        stack.append(("button", f"{stack[-1][1]}>button" if stack else "button", True))
+        stack.append(("button", f"{stack[-1][1]}>button" if stack else "button", True, ()))
 
 
 def best_path(found: list[Block]) -> tuple[str, float]:
-    """The path the page votes for and its score: text held at or below it, less what is linked."""
+    """The path the page votes for and the best score: text held at or below a path, less what is linked.
+
+    The deepest path of ``SHARE`` of the best score is widened to hold all blocks of the article: those of the article
+    or main element that it stands in, or of the whole page.
+    """
     scores: dict[str, float] = {}
     for b in found:
         value = max(0, len(b.text) - 2 * b.linked)
@@ -147,7 +200,15 @@ def best_path(found: list[Block]) -> tuple[str, float]:
     if not scores:
         return "", 0.0
     most = max(scores.values())
-    return max((p.count(">"), s, p) for p, s in scores.items() if s >= SHARE * most)[2], most
+    steps = max((p.count(">"), s, p) for p, s in scores.items() if s >= SHARE * most)[2].split(">")
+    root = next((steps[: k + 1] for k, step in enumerate(steps) if re.split("[.]", step)[0] in ("article", "main")), [])
+    for b in found:
+        if 2 * b.linked <= len(b.text) and (b.heading or len(b.text.encode("utf-8", "replace")) >= LEAST_BLOCK):
+            own = b.path.split(">")
+            if own[: len(root)] == root:
+                same = next((k for k, (x, y) in enumerate(zip(steps, own, strict=False)) if x != y), min(len(steps), len(own)))
+                steps = steps[:same]
+    return ">".join(steps), most
 
 
 def text_along(found: list[Block], path: str | None) -> str:
