@@ -1,0 +1,108 @@
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from wordloom.llm import licences
+from wordloom.llm.alnum import normal_form
+from wordloom.llm.queries import QUERIES
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+PHRASES = {"mit": ["mit", "license"], "apache": ["apache", "license"], "gpl": ["general", "public", "license"]}
+COLUMNS = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels"]
+MIT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy\n# of this software and associated documentation\n"
+    "# files (the \"Software\"), to deal in the Software without restriction"
+)
+
+
+def words(text):
+    return WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def base(doc_id, text):
+    ws = words(text)
+    hits = [(i, label) for label, p in PHRASES.items() for i in range(len(ws)) if ws[i : i + len(p)] == p]
+    starts = [i for i, _ in hits]
+    return doc_id, len(ws), len(hits), min(starts, default=None), max(starts, default=None), ",".join(sorted({label for _, label in hits}))
+
+
+def scanned(spark, texts):
+    frame = spark.createDataFrame([(k, t, "x", 3) for k, t in enumerate(texts)], "doc_id bigint, text string, labels string, score int")
+    return [r for r in sorted(licences.scan(frame.repartition(3)).collect())]
+
+
+TEXTS = [
+    None, "", "no words of that kind here", "The MIT License.", "mit-license MIT\nLicense", "mit the license", "mitlicense",
+    "general public license general public license", "general general public license", "APACHE license, mit license",
+    "public license", "x " * 70_000 + "mit license", "license " * 50 + "mit " * 50, "Mit license " * 40, "é mit license",
+]
+
+
+def test_base_places_equal_brute_force(spark):
+    rows = scanned(spark, TEXTS + TEXTS)
+    assert [tuple(r[c] for c in COLUMNS) for r in rows] == [base(k, t) for k, t in enumerate(TEXTS + TEXTS)]
+    for r in rows:
+        assert set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) and 0 <= r.score <= 1
+        assert (r.score == 1) == bool(r.base_labels)
+        assert r.labels.split(",") == sorted(set(r.labels.split(",")))
+
+
+@pytest.mark.parametrize(
+    "text, label",
+    [
+        ("Licensed under the Apache License, Version 2.0.", "apache-2.0"),
+        ("This work is licensed under the GNU General Public License, version 3.", "gpl-3"),
+        ("Licensed under CC BY-NC 4.0.", "cc-by-nc-4.0"),
+        (MIT, "mit-text"),
+        ("/* " + MIT.replace("\n", "\n * Copyright 2020 \n") + " */", "mit-text"),
+        ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:", "bsd"),
+    ],
+)
+def test_templates_are_found_in_other_layouts_and_long_files(spark, text, label):
+    filler = "the software is free and the license of a copy is not any of it "
+    found = scanned(spark, [text, filler * 300 + text + " " + filler * 300, filler * 50])
+    assert label in found[0].labels.split(",") and label in found[1].labels.split(",")
+    assert label not in found[2].labels.split(",")
+    assert found[0].score > 0.8 and found[2].score == 0
+
+
+def test_key_phrases_are_mandatory_and_stay_together(spark):
+    parts = MIT.split("to any person")
+    torn = parts[0] + "nothing " * 200 + "to any person" + parts[1]
+    cut = MIT.replace("without restriction", "with care")
+    shuffled = " ".join(sorted(words(MIT)))
+    assert [r.labels for r in scanned(spark, [torn, cut, shuffled])] == ["", "", ""]
+
+
+def test_rare_words_vote_and_score_counts_what_is_there():
+    index = licences.Index((licences.Template("t", "one two three four five six seven eight nine", ("four five",)),), {})
+    weight = licences.idf(10, np.zeros(len(index.ids), np.int64))
+
+    def share(text):
+        return licences.template_share(*licences.places(normal_form(pa.array([text])), index), index.texts[0], index.keys[0], weight)
+
+    assert share("one two three four five six seven eight nine") == pytest.approx(1)
+    assert share("one two three x x four five six seven eight nine") == pytest.approx(1)
+    assert share("four five") == pytest.approx(2 / 9)
+    assert share("four x five") == 0
+    assert share("nine " * 30 + "four five " + "one " * 30) == pytest.approx(4 / 9, abs=0.12)
+
+
+def test_document_frequencies_count_each_text_once(spark):
+    index = licences.Index()
+    frame = spark.createDataFrame([("mit mit license",), ("License",), (None,), ("",)], "text string").repartition(2)
+    n, counts = licences.document_frequencies(frame, index)
+    assert n == 4 and counts[index.ids[b"mit"]] == 1 and counts[index.ids[b"license"]] == 2 and counts.sum() == 3
+
+
+def test_an_empty_table_gives_no_rows(spark):
+    assert scanned(spark, []) == []
+
+
+def test_the_query_equals_brute_force(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = sorted(tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect())
+    made = sorted(QUERIES["op11_licences"](spark, sf).select(*COLUMNS).collect())
+    assert [tuple(r) for r in made] == [base(*d) for d in docs]

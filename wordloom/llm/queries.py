@@ -8,7 +8,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm import decontam, html_extract, jaccard_join, lang_id, lm_bloom, mixing, pii_crf, quality_rules, url_filter, warc
+from wordloom.llm import (
+    decontam,
+    html_extract,
+    importance,
+    jaccard_join,
+    lang_id,
+    licences,
+    lm_bloom,
+    mixing,
+    pii_crf,
+    prefix_trie,
+    quality_rules,
+    url_filter,
+    warc,
+)
 from wordloom.session import checkpoint_dir
 
 
@@ -72,6 +86,18 @@ def op10_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_html_extract": op2_html_extract,
@@ -83,4 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_mixing": op9_mixing,
     "op10_decontam": op10_decontam,
+    "op11_licences": op11_licences,
+    "op12_importance": op12_importance,
+    "op13_prefix_trie": op13_prefix_trie,
 }
