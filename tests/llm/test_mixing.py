@@ -72,6 +72,20 @@ def test_a_source_of_one_long_text_comes_as_near_as_it_can(spark):
     assert want["b"] - 1000 < sum(found[k].taken for k in (2, 3)) <= want["b"] and found[4].taken in (0, 900)
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_few_long_texts_come_as_near_as_any_number_of_copies_can(spark, seed):
+    rng = random.Random(seed)
+    rows = [(k, "x " * rng.randint(40, 900), s) for k, s in enumerate("aaaabbbccccd")]
+    found = mixed(spark, rows)
+    sizes = collections.Counter()
+    for k, _, s in rows:
+        sizes[s] += found[k].size
+    for source, target in shares(sizes).items():
+        own = [found[k] for k, _, s in rows if s == source]
+        best = best_sum([r.size for r in own], [3] * len(own), round(target))
+        assert sum(r.taken for r in own) == best and all(0 <= r.repeats <= 3 for r in own)
+
+
 def test_reruns_and_partitions_agree(spark):
     rows = corpus(3)
     first, again = mixed(spark, rows), mixed(spark, rows[::-1], 7)

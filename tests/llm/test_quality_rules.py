@@ -102,6 +102,29 @@ def test_prose_passes_and_layout_fails(spark):
     assert failed == set(LAYOUT)
 
 
+def test_equals_its_sql_twin_on_lines_of_all_kinds(spark):
+    """Each line in a document of its own beside lines that pass, and documents of only such lines."""
+    import duckdb
+
+    from tests.compare import difference
+    from wordloom.llm.oracles import ORACLES
+
+    more = [
+        "A long line that quotes “one” · and goes on | with a bar, but it is prose for the most part, as it says much more than a menu would.",
+        "a·b·c·d e·f | g · h | i.", "‹ one › two ‹ three › four.", "»ja« | »nein« | vielleicht.", "privacy policy " * 9 + ".", "!!a!! b.", "#### x.", "###" + "x" * 60 + ".",
+        "see 1·2·3 and · 4 · 5.", "ກ" * 25, "ก" * 19, "powered by " + "steam and other things " * 6 + ".", "x | y.", "x > y > z.", "Ende;", "Ende;nicht", "a… b", "؟", "\x1c",
+    ]
+    lines = CLEAN + LAYOUT + more
+    texts = TEXTS + [prose(4, f"p{k}") + "\n" + "\n".join([line + f" {j}" if line in CLEAN else line for j in range(4)]) for k, line in enumerate(lines)]
+    texts += [prose(5) + "\n" + (line + " ") * 12 for line in lines] + ["\n".join(lines) + prose(3), "\n".join(CLEAN * 12), "\n".join(more * 3)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    connection = duckdb.connect()
+    connection.register("documents", docs.toPandas())
+    made = quality_rules(docs).drop("clean_text").toPandas()
+    assert difference(made, connection.execute(ORACLES["op4_quality_rules"]).df()) == ""
+    assert 0 < made.kept.sum() < len(made)
+
+
 def test_a_clean_document_of_another_script_is_kept(spark):
     text = "\n".join(" ".join(f"शब्द{k}क{j}" for j in range(12)) + "।" for k in range(8))
     made = quality_rules(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()

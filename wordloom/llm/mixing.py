@@ -3,7 +3,8 @@
 A source's target is its share of all words, at most ``MOST`` times its own words. Whole repeats of
 the source fill most of it; the rest, less than the source has, is a bounded knapsack: texts are counted by exact length, and
 dynamic programming picks how many of each length to take once more so that the sum comes as near to
-the rest as it can. Which texts of a length are taken follows from a seeded hash.
+the rest as it can. Where that misses the target, one knapsack over ``MOST`` copies of every text takes its
+place if it comes nearer. Which texts of a length are taken follows from a seeded hash.
 """
 
 from __future__ import annotations
@@ -108,15 +109,17 @@ def _knapsack(lengths: np.ndarray, counts: np.ndarray, rest: int, order: np.ndar
 
 
 def _choose(frame: pd.DataFrame) -> pd.DataFrame:
-    """How often all texts of each length of one source are taken, and how many of them once more."""
+    """How often all texts of each length of one source are taken, and how many of them once more than that."""
     frame = frame.sort_values("size", ignore_index=True)
     target, size = frame["target"].iloc[0], int(frame["source_size"].iloc[0])
     whole = int(min(MOST, target // size)) if size else 0
     lengths, counts = frame["size"].to_numpy(np.int64), frame["n"].to_numpy(np.int64)
     rest = int(round(target - whole * size)) if whole < MOST else 0
     extra = fill(lengths, counts, rest)
-    if left := rest - int((lengths * extra).sum()):  # a source of few or long texts: further repeats may come nearer
-        extra += fill(lengths, counts * (MOST - whole) - extra, left)
+    if rest > int((lengths * extra).sum()):  # few or long texts: any number of copies of each may come nearer
+        free = fill(lengths, counts * MOST, whole * size + rest)
+        if (lengths * free).sum() > whole * size + (lengths * extra).sum():
+            whole, extra = 0, free
     extra = np.where(lengths > 0, extra, 0)
     return frame.assign(whole=whole + extra // counts, extra=extra % counts)[[KEY, "size", "whole", "extra"]]
 

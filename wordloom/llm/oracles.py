@@ -2,8 +2,23 @@
 
 from __future__ import annotations
 
+import re
+
+from wordloom.llm.quality_rules import BOILERPLATE, ENDS
+
 GAP = r"[\x20\x09-\x0D]+"
 
+# The sentence ends in this engine's spelling of code points and scripts.
+_ENDS = re.sub(r"\\u([0-9A-F]{4})", r"\\x{\1}", ENDS).replace("{Is", "{")
+# A line's parts between separators: pairs of quotation marks go first, and middle dots between letters are no separators.
+_MENU_PARTS = "line"
+for _open, _close in ("«»", "»«", "‹›", "›‹"):
+    _MENU_PARTS = f"regexp_replace({_MENU_PARTS}, '{_open}([^{_open}{_close}]*){_close}', '\\1', 'g')"
+for _ in range(2):
+    _MENU_PARTS = rf"regexp_replace({_MENU_PARTS}, '([\p{{L}}\p{{N}}])·([\p{{L}}\p{{N}}])', '\1.\2', 'g')"
+_MENU_PARTS = f"string_split_regex({_MENU_PARTS}, '[|»›>·]')"
+_SHORT = r"list_filter(parts, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]') AND length(trim(x)) <= 30)"
+
 OP4 = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, t, list_filter(string_split_regex(t, '{GAP}'), lambda x: x <> '') AS ws FROM d),
@@ -11,16 +26,17 @@ p AS (SELECT doc_id, unnest(range(1, len(ws) - 1)) AS i, ws FROM w WHERE len(ws)
 g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i], ws[i + 1], ws[i + 2]) AS n FROM p),
 r AS (SELECT doc_id, count(DISTINCT place) AS n_repeat_words FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS place FROM g WHERE n > 1) GROUP BY doc_id),
 l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
+v AS (SELECT doc_id, line, length(line) AS n, regexp_matches(line, '[^\x20\x09-\x0D]') AS worded, {_MENU_PARTS} AS parts FROM l),
 f AS (
-  SELECT doc_id, line, length(line) AS n, regexp_matches(line, '[^\x20\x09-\x0D]') AS worded,
-    NOT regexp_matches(line, '[^\x20\x09-\x0D]') OR NOT (
-      14 * (length(line) - length(regexp_replace(line, '[#*$%&|<>]', '', 'g'))) > length(line)
-      OR NOT regexp_matches(line, '[.!?…:;"”’»)\]](?:[\x20\x09-\x0D]|$)')
+  SELECT doc_id, line, n, worded,
+    NOT worded OR NOT (
+      14 * (n - length(regexp_replace(line, '[#*$%&|<>]', '', 'g'))) > n
+      OR NOT regexp_matches(line, '{_ENDS}')
       OR regexp_matches(line, '!![^!]+!!')
-      OR regexp_matches(line, '[|»›·>][^|»›·>]+[|»›·>]')
-      OR regexp_matches(line, '(?i)\b(?:all rights reserved|accept (?:all )?cookies|use[sd]? cookies|cookie policy|privacy policy|terms of (?:use|service)|subscribe to|sign up for|log in to|enable javascript|javascript is|click here|read more|share this|powered by|skip to (?:main )?content|back to top|lorem ipsum)\b')
+      OR regexp_matches(line, '[|»›·>][^|»›·>]+[|»›·>]') AND len(parts) > 2 AND len({_SHORT}) > 1 AND 2 * list_sum(list_transform({_SHORT}, lambda x: length(x))) >= list_sum(list_transform(parts, lambda x: length(x)))
+      OR regexp_matches(line, '{BOILERPLATE}') AND (n <= 100 OR 2 * length(regexp_replace(line, '{BOILERPLATE}', '', 'g')) <= n)
     ) AS ok
-  FROM l),
+  FROM v),
 s AS (SELECT doc_id, count(*) FILTER (worded) - count(DISTINCT line) FILTER (worded) AS n_dup_lines, sum(n) AS n, coalesce(sum(n) FILTER (ok), 0) AS n_ok FROM f GROUP BY doc_id),
 a AS (
   SELECT w.doc_id, len(ws) AS n_words, length(regexp_replace(t, '{GAP}', '', 'g')) AS word_chars,
