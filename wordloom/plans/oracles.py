@@ -270,6 +270,8 @@ ORACLES: dict[str, str] = {
         SELECT label, CAST(generate_subscripts(embedding, 1) - 1 AS INTEGER) AS pos, unnest(embedding) AS value FROM embeddings)
         GROUP BY label, pos""",
     "nearest_words": f"{_with(NEAREST)} SELECT * FROM nearest",
+    "nearest_words_recall": f"""{_with(NEAREST)}
+        SELECT count(DISTINCT vec_id) AS n_queries, count(*) AS n_exact, true AS reached FROM nearest WHERE vec_id % 50 = 0""",
     "neighbour_freq": f"{_with(NEAREST)} SELECT * FROM freq",
     "embedding_merge": f"""{_with(NEAREST, MERGED)}
         SELECT token_id, 'label ' || token_id AS token, pos, round(CAST(mean AS DOUBLE), 5) AS value, near_str

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from wordloom.functions import text as T
 from wordloom.functions import vectors as V
-from wordloom.operators import counts, dictionary, lines, neighbours, rejects, samples, sharding, word2vec
+from wordloom.operators import cells, counts, dictionary, lines, neighbours, rejects, samples, sharding, word2vec
 from wordloom.plans.pipeline import Settings
 from wordloom.session import checkpoint_dir, stage_table
 from wordloom.sources import readers
@@ -27,8 +27,8 @@ CUT_START, CUT_LENGTH = 16, 32
 FOLD_CHUNK = 3
 DIVISOR = 7
 
-# The models of the registered queries: one epoch over all words.
-MODEL = Settings(dim=20, epochs=1, min_count=1, n_models=2)
+# The models of the registered queries: one epoch over all words, nearest words through cells.
+MODEL = Settings(dim=20, epochs=1, min_count=1, n_models=2, nearest_by="cells")
 
 QUERIES: dict[str, Query] = {}
 
@@ -379,6 +379,15 @@ def nearest_words(spark, sf):
     return neighbours.nearest(_embeddings(spark, sf), "vec_id", "embedding")
 
 
+@query
+def nearest_words_recall(spark, sf):
+    """Whether the index finds nine tenths of the nearest rows of every id divisible by 50 among all rows."""
+    given, asked = _embeddings(spark, sf), F.col("vec_id") % 50 == 0
+    found = cells.nearest_by_cells(given, "vec_id", "embedding", queries=asked)
+    share = cells.found_share(found, nearest_words(spark, sf).where(asked), "vec_id")
+    return share.select("n_queries", "n_exact", (F.col("n_found") >= 0.9 * F.col("n_exact")).alias("reached"))
+
+
 def _neighbour_counts(spark, sf):
     labels = _embeddings(spark, sf).select("vec_id", "label")
     named = nearest_words(spark, sf).join(labels, "vec_id")
@@ -467,7 +476,7 @@ def embedding_table(spark, sf):
     known = dictionary.build_dictionary(tokens)
     samples_ = samples.sliding_windows(dictionary.sentence_token_ids(tokens, known), SIZE, STRIDE, PAD)
     sharded = stage_table(samples_.withColumn("shard_id", sharding.shard_by_id("doc_id", MODEL.n_models)), "samples", ["shard_id"])
-    fitted = stage_table(word2vec.fit_shards(sharded, MODEL.n_models, MODEL.nearest, **_model_settings()), "fitted")
+    fitted = stage_table(word2vec.fit_shards(sharded, MODEL.n_models, MODEL.nearest, MODEL.nearest_by, MODEL.recall, **_model_settings()), "fitted")
     return word2vec.embedding_table(fitted, dictionary.decode(fitted, known), MODEL.kept)
 
 
