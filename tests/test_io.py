@@ -1,12 +1,15 @@
+import bz2
 import gzip
 import os
+from urllib.parse import unquote
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from wordloom.operators import samples, sharding
 from wordloom.session import checkpoint_dir, spread, stage_table, staging
-from wordloom.sources import readers, writers
+from wordloom.sources import readers, versions, writers
 
 BOM = b"\xef\xbb\xbf"
 
@@ -104,10 +107,97 @@ def test_a_table_may_be_replaced_by_what_was_read_from_it(spark, frame, tmp_path
     assert [r.id for r in spark.read.parquet(path).collect()] == [2]
 
 
-def test_offsets_of_compressed_files_are_refused(spark, tmp_path):
-    (tmp_path / "a.txt.gz").write_bytes(gzip.compress(b"a\nb\nc\n"))
-    with pytest.raises(ValueError, match="uncompressed"):
-        readers.text_files_with_offset(spark, str(tmp_path))
+@pytest.mark.parametrize("pack, end", [(gzip.compress, ".gz"), (bz2.compress, ".bz2")])
+def test_offsets_of_compressed_files_are_those_of_their_content(spark, tmp_path, pack, end):
+    long = "".join(f"line {i} é\n" for i in range(300)).encode()
+    contents = {"a b": BOM + b"one\r\ntwo\rthree", "plain": long, "marked": BOM + long, "empty": b"", "short": b"x\n"}
+    for name, content in contents.items():
+        (tmp_path / f"{name}{end}").write_bytes(pack(content))
+    (tmp_path / "as it is").write_bytes(contents["marked"])
+    found = {}
+    for r in readers.text_files_with_offset(spark, str(tmp_path)).collect():
+        found.setdefault(unquote(os.path.basename(r.file)), {})[r.offset] = r.line
+    wanted = {f"{name}{end}": offsets_of(content) for name, content in contents.items() if content}
+    assert found == wanted | {"as it is": offsets_of(contents["marked"])}
+
+
+@pytest.mark.parametrize("failing", [0, 1])
+def test_a_rename_that_fails_leaves_the_old_table(spark, frame, tmp_path, monkeypatch, failing):
+    path = str(tmp_path / "out")
+    writers.write_table(frame([(1,)], "id int"), path)
+    calls, moved = [], writers._moved
+
+    def fails_once(*args):
+        calls.append(args)
+        return len(calls) - 1 != failing and moved(*args)
+
+    monkeypatch.setattr(writers, "_moved", fails_once)
+    with pytest.raises(OSError, match="can't be moved"):
+        writers.write_table(frame([(2,)], "id int"), path)
+    assert len(calls) == (1, 3)[failing] and [r.id for r in spark.read.parquet(path).collect()] == [1]
+
+
+def ids(table):
+    return sorted(r.id for r in table.collect())
+
+
+def test_versions_follow_their_commits(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    with pytest.raises(FileNotFoundError):
+        versions.current(spark, path)
+    for k in range(4):
+        folder = versions.write_version(frame([(k,)], "id int"), path)
+        assert versions.current(spark, path) == folder and ids(versions.read_version(spark, path)) == [k]
+    assert ids(versions.read_version(spark, path, 2)) == [1]
+    assert versions.roll_back(spark, path, 1) == 5 and ids(versions.read_version(spark, path)) == [0]
+    assert versions.remove_old(spark, path) == 2 and ids(versions.read_version(spark, path)) == [0]
+    assert sorted(versions.commits(spark, path)) == [1, 4, 5]
+    assert len([p for p in (tmp_path / "t").iterdir() if p.name.startswith("version-")]) == 2
+
+
+def test_the_old_version_stays_at_each_failing_step(spark, frame, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    versions.write_version(frame([(1,)], "id int"), path)
+    bad = frame([(2,)], "id int").select(F.raise_error(F.lit("no")).cast("int").alias("id"))
+    with pytest.raises(Exception, match="no"):
+        versions.write_version(bad, path)
+    with monkeypatch.context() as m:
+        m.setattr(versions, "_commit", lambda *args: (_ for _ in ()).throw(OSError("no commit")))
+        with pytest.raises(OSError):
+            versions.write_version(frame([(3,)], "id int"), path)
+    (tmp_path / "t" / "_commits" / "0000000002").write_text("version-cut-o")  # a writer that died in its commit
+    assert ids(versions.read_version(spark, path)) == [1]
+    assert len([p for p in (tmp_path / "t").iterdir() if p.name.startswith("version-")]) == 1
+    versions.write_version(frame([(4,)], "id int"), path)
+    assert ids(versions.read_version(spark, path)) == [4] and sorted(versions.commits(spark, path)) == [1, 3]
+
+
+def test_unreadable_lines_are_rejected_with_their_place(spark, tmp_path):
+    lines = ["k1\t1;2.0", "k2\t-3.5 4e1", "", "no tab", "k\t1;x", "\t1;2", "k\t", "k\t1;;2", "k\t1\t2", "k\t1;2;3"]
+    (tmp_path / "s").write_text("\n".join(lines) + "\n")
+    scanned = readers.text_files_with_offset(spark, str(tmp_path))
+    good, bad = samples.scan_text(scanned, 2)
+    assert sorted((r.sample_key, r.n_tokens, r.vec) for r in good.collect()) == [("k1", 2, [1.0, 2.0]), ("k2", 2, [-3.5, 40.0])]
+    rows = sorted(bad.collect(), key=lambda r: r.offset)
+    assert [r.line for r in rows] == lines[2:] and [r.offset for r in rows] == [sum(len(x) + 1 for x in lines[:k]) for k in range(2, len(lines))]
+    assert [r.reason for r in rows] == ["not a key and a vector"] * 2 + ["not a number", "no key", "no vector", "not a number", "not a key and a vector", "wrong length"]
+    assert samples.scan_text(scanned)[1].count() == 7
+
+
+def test_shards_of_equal_bytes(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "BLOCK", 7)
+    sizes = [3, 0, 50, 1, 1, 1, 9, 0, 0, 120, 4, 4, 4, None, 30, 2, 2, 8, 16, 5] * 4
+    rows = spark.createDataFrame(list(enumerate(sizes)), "id long, n int").repartition(5)
+    total, before, wanted = sum(s or 0 for s in sizes), 0, {}
+    for k, s in enumerate(sizes):
+        wanted[k] = min(2, before * 3 // total)
+        before += s or 0
+    made = sharding.shard_by_bytes(rows, ["id"], F.col("n"), 3)
+    assert made.columns == ["id", "n", "shard_id"] and {r.id: r.shard_id for r in made.collect()} == wanted
+    held = [sum(sizes[k] or 0 for k, s in wanted.items() if s == shard) for shard in range(3)]
+    assert all(abs(h - total / 3) <= 120 for h in held)
+    assert [r.shard_id for r in sharding.shard_by_bytes(rows.where("id = 1"), ["id"], F.col("n"), 3).collect()] == [0]
+    assert sharding.shard_by_bytes(rows.limit(0), ["id"], F.col("n"), 3).count() == 0
 
 
 def test_offsets_do_not_depend_on_the_broadcast(spark, tmp_path, monkeypatch):

@@ -7,7 +7,7 @@ import pytest
 from wordloom.__main__ import main
 from wordloom.operators import bpe, lines, samples, word2vec
 from wordloom.plans.pipeline import Settings, export_text, run
-from wordloom.sources import readers
+from wordloom.sources import readers, versions
 
 TEXT = "the cat sat on the mat! the dog, the cat and\n\nthe mat\r\nA cat on a mat and a dog on a mat in the sun all day long!"
 SHORT = Settings(window=6, stride=2, dim=5, epochs=1, partitions=1)
@@ -39,6 +39,29 @@ def test_three_stages(spark, frame, tmp_path, with_encoder):
     assert ({"c", "t"} if with_encoder else {"cat", "ma", "the"}) <= names
 
 
+def test_the_scalable_settings(spark, frame, tmp_path):
+    chosen = dataclasses.replace(SHORT, method="counts", nearest_by="cells", align=True, versions=True, weight_by_length=True, epochs=2)
+    for _ in range(2):
+        written = run(corpus(frame), str(tmp_path / "out"), chosen)
+    assert set(written) == {"dictionary", "word_count", "samples", "embeddings", "rejects"}
+    for name, path in written.items():
+        assert path == versions.current(spark, str(tmp_path / "out" / name)) and len(versions.commits(spark, str(tmp_path / "out" / name))) == 2
+    made = spark.read.parquet(written["samples"]).collect()
+    table = {r.token_id: r for r in spark.read.parquet(written["embeddings"]).collect()}
+    assert set(table) <= {int(x) for r in made for x in r.vec[: r.n_tokens]} and len(table) > 10
+    assert all(len(r.vec) == 5 and all(map(math.isfinite, r.vec)) and len(r.near) == 3 for r in table.values())
+
+
+def test_gates_are_counted_while_tables_are_written(spark, frame, tmp_path):
+    """No job but the writes themselves and what positions in a dictionary take."""
+    calls = []
+    with pytest.MonkeyPatch.context() as patch:
+        for name in ("isEmpty", "count"):
+            patch.setattr(type(spark.range(1)), name, lambda df, name=name: calls.append(name))
+        written = run(corpus(frame), str(tmp_path / "out"), dataclasses.replace(SHORT, embed=False))
+    assert calls == [] and set(written) == {"dictionary", "word_count", "samples"}
+
+
 def test_text_output(spark, frame, tmp_path):
     written = run(corpus(frame), str(tmp_path / "out"), SHORT)
     texts = export_text(spark, written, str(tmp_path / "text"))

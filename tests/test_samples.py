@@ -1,3 +1,5 @@
+from collections import Counter
+
 from wordloom.operators import rejects, samples, sharding
 from wordloom.functions import vectors as V
 from pyspark.sql import functions as F
@@ -73,3 +75,20 @@ def test_rejects_and_good_rows_make_up_the_input(frame):
 def test_float_text_round_trip(frame):
     rows = frame([([0.065905005, 1e-4, -3.5],)], "vec array<float>")
     assert rows.select(V.parse(V.render(F.col("vec")))).first()[0] == rows.first()[0]
+
+
+def test_draws_follow_weights_and_reruns_agree(frame):
+    rows = frame([(k, 0, 0, 0, float([0, 1, 2, 10][k % 4])) for k in range(2000)], "doc_id long, line_no int, sentence_idx int, sample_idx int, w double")
+    mean, epochs = 3.25, 4
+
+    def drawn(seed):
+        return Counter(r.doc_id for r in samples.weighted_draws(rows, F.col("w"), epochs, seed).collect())
+
+    found = drawn(1)
+    assert found == drawn(1) and found != drawn(2)
+    for k, w in enumerate([0, 1, 2, 10]):
+        times = [found[i] for i in range(k, 2000, 4)]
+        low, high = epochs * int(w / mean), epochs * (int(w / mean) + 1)
+        assert all(low <= t <= high for t in times) and abs(sum(times) / 500 - epochs * w / mean) < 0.2
+    assert samples.weighted_draws(rows, F.col("w"), 2).columns == rows.columns
+    assert samples.weighted_draws(rows.limit(0), F.col("w"), 2).count() == 0

@@ -22,8 +22,9 @@ _SHORT = r"list_filter(parts, lambda x: regexp_matches(x, '[^\x20\x09-\x0D]') AN
 OP4 = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, t, list_filter(string_split_regex(t, '{GAP}'), lambda x: x <> '') AS ws FROM d),
-p AS (SELECT doc_id, unnest(range(1, len(ws) - 1)) AS i, ws FROM w WHERE len(ws) > 2),
-g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, ws[i], ws[i + 1], ws[i + 2]) AS n FROM p),
+p AS (SELECT doc_id, unnest(ws) AS w1, generate_subscripts(ws, 1) AS i FROM w),
+q AS (SELECT doc_id, i, w1, lead(w1) OVER o AS w2, lead(w1, 2) OVER o AS w3 FROM p WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w1, w2, w3) AS n FROM q WHERE w3 IS NOT NULL),
 r AS (SELECT doc_id, count(DISTINCT place) AS n_repeat_words FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS place FROM g WHERE n > 1) GROUP BY doc_id),
 l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
 v AS (SELECT doc_id, line, length(line) AS n, regexp_matches(line, '[^\x20\x09-\x0D]') AS worded, {_MENU_PARTS} AS parts FROM l),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wordloom.functions import vectors as V
 from wordloom.operators.ranking import with_position
+from wordloom.operators.rejects import NUMBER
 
 KEY = ["doc_id", "line_no", "sentence_idx", "sample_idx"]
 
@@ -58,6 +59,28 @@ def from_text(lines: DataFrame) -> DataFrame:
     return parse(lines).select("sample_key", F.size("tokens").alias("n_tokens"), vec.alias("vec"))
 
 
+def scan_text(lines: DataFrame, size: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(good, rejects) of the lines (file, offset, line) of sample files; each line is in one of them.
+
+    Good lines give (sample_key, n_tokens, vec), rejects (file, offset, line, reason): a line that is not a key, a tab and a
+    vector, has an empty key or vector, holds something that is no number, or not ``size`` numbers where that is given.
+    """
+    fields = F.split("line", "\t", -1)
+    read = lines.withColumn("sample_key", fields[0]).withColumn("tokens", F.split(F.get(fields, F.lit(1)), "[; ]", -1))
+    reason = (
+        F.when(F.size(fields) != 2, "not a key and a vector")
+        .when(F.col("sample_key") == "", "no key")
+        .when(F.get(fields, F.lit(1)) == "", "no vector")
+        .when(F.exists("tokens", lambda t: ~t.rlike(NUMBER)), "not a number")
+    )
+    if size is not None:
+        reason = reason.when(F.size("tokens") != size, "wrong length")
+    read = read.withColumn("reason", reason)
+    vec = F.transform("tokens", lambda t: t.cast("double")).alias("vec")
+    good = read.where("reason is null").select("sample_key", F.size("tokens").alias("n_tokens"), vec)
+    return good, read.where("reason is not null").select("file", "offset", "line", "reason")
+
+
 def first_per_key(samples: DataFrame, keys: list[str]) -> DataFrame:
     """One row per key, for input that may repeat rows; null keys are left out.
 
@@ -86,6 +109,24 @@ def replicate_by_length(samples: DataFrame) -> DataFrame:
     return samples.withColumn("_copy", F.explode(times)).drop("_copy")
 
 
+def weighted_draws(samples: DataFrame, weight: Column, epochs: int, seed: int = 42, keys: list[str] | None = None) -> DataFrame:
+    """Each sample as often as its weight over the mean weight says, for each of ``epochs`` epochs; nothing is written.
+
+    In an epoch a sample of w times the mean weight is there floor(w) times, and once more with the chance of what is left of
+    w, by a hash of its ``keys`` (``sample_key`` if there is one, else ``KEY``), the epoch and the seed. Reruns draw the same,
+    and an epoch has about as many rows as there are samples, where copies by weight would be as many as characters.
+    """
+    keys = keys or (["sample_key"] if "sample_key" in samples.columns else KEY)
+    weighed = samples.withColumn("_weight", weight.cast("double"))
+    mean = weighed.agg(F.avg("_weight")).first()[0] or 1.0
+    drawn = weighed.withColumn("_epoch", F.explode(F.sequence(F.lit(1), F.lit(epochs)))).withColumn("_weight", F.col("_weight") / mean)
+    chance = F.pmod(F.xxhash64(F.lit(seed), F.col("_epoch"), *keys), F.lit(1 << 30)) / (1 << 30)
+    times = F.floor(F.col("_weight") + 1 - chance).cast("int")  # chance < the rest of the weight: once more
+    times = F.when(F.col("_weight") > 0, times).otherwise(0)
+    copies = drawn.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), times)))
+    return copies.drop("_copy", "_epoch", "_weight")
+
+
 def words_of(samples: DataFrame, train_on_pad: bool = False) -> Column:
     """ARRAY<STRING> of ids, the form a model is fitted on; pads are left out by place."""
     used = samples["vec"] if train_on_pad else F.slice(samples["vec"], F.lit(1), samples["n_tokens"])

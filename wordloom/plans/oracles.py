@@ -185,6 +185,9 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, line_no, sentence_idx FROM sentences WHERE rtrim(sentence, ' ') = ''""",
     "shard_assign": f"""SELECT CAST(doc_id % {SHARDS} AS INTEGER) AS shard_id, count(*) AS n_rows,
         CAST(sum(octet_length(encode(text))) AS BIGINT) AS n_bytes FROM documents GROUP BY ALL""",
+    "shard_by_bytes": f"""WITH b AS (SELECT doc_id, coalesce(octet_length(encode(text)), 0) AS n FROM documents),
+        s AS (SELECT doc_id, CAST(sum(n) OVER (ORDER BY doc_id) - n AS BIGINT) AS before, CAST(sum(n) OVER () AS BIGINT) AS total FROM b)
+        SELECT doc_id, CAST(before * {SHARDS} // total AS INTEGER) AS shard_id FROM s""",
     "word_count": f"{_with(LINES, WORDS)} SELECT word, count(*) AS n FROM words GROUP BY word",
     "word_count_all": f"""{_with(LINES_ALL, WORDS)} SELECT word, count(*) AS n FROM words GROUP BY word""",
     "vocab_min_count": f"""{_with(LINES, WORDS)}
@@ -197,9 +200,8 @@ ORACLES: dict[str, str] = {
         SELECT CAST(coalesce(sum(CASE WHEN ids_str = '' THEN 1 ELSE length(ids_str) END), 0) AS BIGINT) AS vocab_size
         FROM counted_ids""",
     "encode_dictionary": f"{_with(LINES, SENTENCES, TOKENS, _dictionary('tokens'))} SELECT word, token_id FROM dictionary",
-    "decode_tokens": f"""{TO_IDS}
-        SELECT token_id, word AS token FROM (SELECT DISTINCT unnest(token_ids) AS token_id FROM ids)
-        JOIN dictionary USING (token_id)""",
+    "decode_tokens": f"""{_with(LINES, SENTENCES, TOKENS, _dictionary('tokens'))}
+        SELECT DISTINCT token_id, word AS token FROM tokens JOIN dictionary USING (word)""",
     "encode_bytes": f"""{_with(LINES, WORDS)}
         SELECT word, coalesce(array_to_string(list_transform(regexp_extract_all(hex(encode(word)), '..'),
           lambda h: CAST('0x' || h AS INTEGER)), ';'), '') AS ids_str
@@ -223,6 +225,14 @@ ORACLES: dict[str, str] = {
     "samples_parse": f"""{TO_SAMPLES}
         SELECT sample_key, CAST(len(vec) AS INTEGER) AS n_tokens, CAST(vec[1] AS INTEGER) AS first_id,
           CAST(vec[-1] AS INTEGER) AS last_id FROM samples""",
+    "samples_rescan": f"""{TO_SAMPLES},
+        texts AS (SELECT sample_key || chr(9) || vec_str AS line FROM (SELECT sample_key, {VEC_STR} FROM samples)
+          UNION ALL SELECT line FROM lines UNION ALL SELECT doc_id || chr(9) || line FROM lines),
+        cut AS (SELECT string_split(line, chr(9)) AS f FROM texts),
+        judged AS (SELECT CASE WHEN len(f) <> 2 THEN 'not a key and a vector' WHEN f[1] = '' THEN 'no key' WHEN f[2] = '' THEN 'no vector'
+            WHEN len(list_filter(string_split_regex(f[2], '[; ]'), lambda x: NOT regexp_matches(x, '^[+-]?([0-9]+([.][0-9]*)?|[.][0-9]+)([eE][+-]?[0-9]+)?$'))) > 0 THEN 'not a number'
+            WHEN len(string_split_regex(f[2], '[; ]')) <> {SIZE} THEN 'wrong length' ELSE 'good' END AS reason FROM cut)
+        SELECT reason, count(*) AS n FROM judged GROUP BY reason""",
     "token_id_from_text": f"""{TO_SAMPLES}, texts AS (
         SELECT DISTINCT unnest(list_transform(vec, lambda x: CAST(x AS VARCHAR))) AS raw FROM samples)
         SELECT raw, {TEXT_TO_ID} AS token_id FROM texts""",
@@ -239,6 +249,19 @@ ORACLES: dict[str, str] = {
         SELECT token_id, CAST({MODEL.dim} AS INTEGER) AS dim, true AS finite
         FROM (SELECT CAST(unnest(vec[1:{SIZE} - n_pads]) AS INTEGER) AS token_id FROM samples)
         GROUP BY token_id HAVING count(*) >= {MODEL.min_count}""",
+    "cooccurrence_totals": f"""{TO_SAMPLES},
+        w AS (SELECT row_number() OVER () AS id, vec[1:{SIZE} - n_pads] AS ids FROM samples),
+        p AS (SELECT id, CAST(unnest(ids) AS INTEGER) AS t, generate_subscripts(ids, 1) AS i FROM w),
+        n AS (SELECT x.t AS a, y.t AS b, count(*) AS n FROM p x JOIN p y ON x.id = y.id AND x.i <> y.i AND abs(x.i - y.i) <= {MODEL.window} GROUP BY ALL),
+        m AS (SELECT a, sum(n) AS m FROM n GROUP BY a),
+        s AS (SELECT sum(m) AS s FROM m)
+        SELECT n.a AS token_id, count(*) AS n_near, CAST(sum(n) AS BIGINT) AS n_places, count(*) FILTER (n * s > u.m * v.m) AS n_positive
+        FROM n JOIN m u ON u.a = n.a JOIN m v ON v.a = n.b, s GROUP BY n.a""",
+    "counts_coverage": f"""{TO_SAMPLES}
+        SELECT token_id, CAST({MODEL.dim} AS INTEGER) AS dim, true AS finite
+        FROM (SELECT CAST(unnest(vec[1:{SIZE} - n_pads]) AS INTEGER) AS token_id FROM samples)
+        GROUP BY token_id HAVING count(*) >= {MODEL.min_count}""",
+    "embedding_aligned": "SELECT vec_id, CAST(2 AS INTEGER) AS n_models, true AS same FROM embeddings",
     "ensemble_coverage": f"""{_with(LINES, SENTENCES, TOKENS, _dictionary('tokens'), IDS, WINDOWS, MODEL_WORDS)}
         SELECT token_id, CAST(count(*) AS INTEGER) AS n_models, CAST({MODEL.dim} AS INTEGER) AS dim, true AS finite
         FROM per_shard GROUP BY token_id""",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from wordloom.functions import text as T
 from wordloom.functions import vectors as V
-from wordloom.operators import cells, counts, dictionary, lines, neighbours, rejects, samples, sharding, word2vec
+from wordloom.operators import cells, cooccurrence, counts, dictionary, lines, neighbours, rejects, samples, sharding, word2vec
 from wordloom.plans.pipeline import Settings
 from wordloom.session import checkpoint_dir, stage_table
 from wordloom.sources import readers
@@ -128,6 +128,13 @@ def shard_assign(spark, sf):
     return sharding.shard_sizes(sharded, "text")
 
 
+@query
+def shard_by_bytes(spark, sf):
+    """Runs of documents of equal bytes."""
+    sized = _documents(spark, sf).select("doc_id", F.octet_length("text").alias("bytes"))
+    return sharding.shard_by_bytes(sized, ["doc_id"], F.col("bytes"), SHARDS).select("doc_id", "shard_id")
+
+
 # Counts and vocabulary
 
 
@@ -279,6 +286,17 @@ def samples_parse(spark, sf):
     )
 
 
+@query
+def samples_rescan(spark, sf):
+    """Sample files that also hold the corpus's own lines, with and without a key, read again: good lines and rejects by reason."""
+    path = f"{checkpoint_dir(spark)}/mixed-{uuid.uuid4().hex}"
+    plain = _lines(spark, sf).select(F.explode(F.array("line", F.concat_ws("\t", "doc_id", "line"))))
+    samples.render(_samples(spark, sf)).unionAll(plain).write.text(path)
+    good, bad = samples.scan_text(readers.text_files_with_offset(spark, path), SIZE)
+    judged = good.select(F.lit("good").alias("reason")).unionByName(bad.select("reason"))
+    return judged.groupBy("reason").agg(F.count("*").alias("n"))
+
+
 @query
 def token_id_from_text(spark, sf):
     parsed = samples.parse(samples.render(_samples(spark, sf)))
@@ -460,6 +478,34 @@ def word2vec_coverage(spark, sf):
     return word2vec_vectors(spark, sf).select("token_id", F.size("vec").alias("dim"), _finite().alias("finite"))
 
 
+@query
+def cooccurrence_totals(spark, sf):
+    """For each word the distinct words within its window, their places, and how many have a positive weight."""
+    pairs = stage_table(cooccurrence.cooccurrence(_samples(spark, sf), MODEL.window), "pairs")
+    weights = cooccurrence.ppmi(pairs).groupBy("a").agg(F.count("*").alias("n_positive"))
+    totals = pairs.groupBy("a").agg(F.count("*").alias("n_near"), F.sum("n").alias("n_places"))
+    joined = totals.join(weights, "a", "left")
+    return joined.select(F.col("a").alias("token_id"), "n_near", "n_places", F.coalesce("n_positive", F.lit(0)).alias("n_positive"))
+
+
+@query
+def counts_coverage(spark, sf):
+    """Vectors from co-occurrence counts: every word has one, of finite numbers."""
+    made = cooccurrence.fit_counts(_samples(spark, sf), MODEL.dim, MODEL.window, MODEL.min_count, MODEL.seed)
+    return made.select("token_id", F.size("vec").alias("dim"), _finite().alias("finite"))
+
+
+@query
+def embedding_aligned(spark, sf):
+    """The given vectors and a copy on other axes, reversed with every second sign changed, merge back to the given ones."""
+    given = _embeddings(spark, sf).select(F.col("vec_id").alias("token_id"), F.col("embedding").alias("vec"))
+    other = F.transform(F.reverse("vec"), lambda x, i: F.when(i % 2 == 0, x).otherwise(-x))
+    both = given.withColumn("shard_id", F.lit(0)).unionByName(given.withColumn("vec", other).withColumn("shard_id", F.lit(1)))
+    merged = word2vec.merge_shards(both, align=True).withColumnRenamed("vec", "merged").join(given, "token_id")
+    near = F.forall(F.zip_with("merged", "vec", lambda x, y: F.abs(x - y) < 1e-4), lambda same: same)
+    return merged.select(F.col("token_id").alias("vec_id"), "n_models", near.alias("same"))
+
+
 @query
 def word2vec_ensemble(spark, sf):
     return word2vec.merge_shards(_fitted(spark, sf))

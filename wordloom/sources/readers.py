@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +14,8 @@ from wordloom.session import spread, stage_table
 
 #: Bytes of file names and offsets that are broadcast; above, splits join by shuffle.
 MAX_SPLIT_BYTES = 64 << 20
-#: Endings of files that Spark decompresses: their offsets would not be those of the file.
-COMPRESSED = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate", ".xz")
+#: Endings of files that Spark decompresses: their size says nothing about their content.
+PACKED = r"\.(gz|bz2|zst|lz4|snappy|deflate|xz)$"
 
 
 def table(spark: SparkSession, path: str, *columns: str) -> DataFrame:
@@ -34,13 +35,11 @@ def text_files_with_offset(spark: SparkSession, path: str, prefix: str = "") ->
     A split adds up the bytes of its own lines while it streams them; the bytes of the splits
     before it come from a small table with one row per split. Lines end at ``\\n``, ``\\r\\n`` or
     ``\\r``; a file without any ``\\n`` is one split. The three bytes of a byte-order mark, which the
-    reader removes, show as missing from the file's size. Compressed files are refused.
+    reader removes, show as missing from the file's size. Offsets of compressed files are those of their content; whether
+    it opens with a mark is read from its first three bytes.
     """
     reader = spark.read.option("pathGlobFilter", f"{prefix}*") if prefix else spark.read
     scan = reader.option("lineSep", "\n").text(path)
-    packed = [name for name in scan.inputFiles() if name.lower().endswith(COMPRESSED)]
-    if packed:
-        raise ValueError(f"byte offsets need uncompressed files; {len(packed)} are not, such as {packed[0]}")
     meta = F.col("_metadata")
     lines = scan.select(
         meta.getField("file_path").alias("file"),
@@ -57,13 +56,17 @@ def text_files_with_offset(spark: SparkSession, path: str, prefix: str = "") ->
         "file",
         "block",
         F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("before"),
-        F.when(missing >= 2, 3).otherwise(0).alias("mark"),
+        F.when(~F.lower("file").rlike(PACKED) & (missing >= 2), 3).otherwise(0).alias("mark"),
     )
     running = lines.drop("file_size", "bytes").mapInArrow(
         _running_place(), "file string, block long, line string, place long"
     )
     offset = F.col("before") + F.col("place")
     splits = stage_table(before, "splits")
+    packed = splits.where(F.lower("file").rlike(PACKED)).select("file").distinct().collect()
+    if marked := _marked(spark, [r.file for r in packed]):
+        of_packed = spark.createDataFrame(pa.table({"file": marked, "_mark": [3] * len(marked)}))
+        splits = splits.join(of_packed, "file", "left").withColumn("mark", F.coalesce(F.col("_mark").cast("int"), "mark")).drop("_mark")
     if (splits.agg(F.sum(F.octet_length("file") + 32)).first()[0] or 0) <= MAX_SPLIT_BYTES:
         splits = F.broadcast(splits)
     return running.join(splits, ["file", "block"]).select(
@@ -73,6 +76,24 @@ def text_files_with_offset(spark: SparkSession, path: str, prefix: str = "") ->
     )
 
 
+def _marked(spark: SparkSession, names: list[str]) -> list[str]:
+    """The compressed files whose content opens with a byte-order mark; three bytes of each are read, many files at a time."""
+    jvm, configuration = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(configuration)
+
+    def opens_with_mark(name: str) -> bool:
+        at = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        files = at.getFileSystem(configuration)
+        stream = codecs.getCodec(at).createInputStream(files.open(at))
+        try:
+            return [stream.read() for _ in range(3)] == list(b"\xef\xbb\xbf")
+        finally:
+            stream.close()
+
+    with ThreadPoolExecutor(16) as pool:
+        return [name for name, found in zip(names, pool.map(opens_with_mark, names)) if found]
+
+
 def _running_place():
     """A streaming task: cuts rows at ``\\r`` and gives the bytes before each line in its own split."""
 

@@ -10,6 +10,7 @@ from pyspark.sql.types import ArrayType
 
 from wordloom.session import file_system
 
+
 def as_text(df: DataFrame, separator: str = ";") -> DataFrame:
     """Arrays joined to text, for the text formats."""
     flat = [
@@ -21,40 +22,58 @@ def as_text(df: DataFrame, separator: str = ";") -> DataFrame:
     return df.select(*flat)
 
 
+SEPARATORS = {"csv": ",", "tsv": "\t"}
+
+
+def write_files(df: DataFrame, path: str, form: str = "parquet", partition_by: tuple[str, ...] = ()) -> None:
+    """Write as ``parquet``, ``csv`` or ``tsv`` into a folder that is not there yet."""
+    if form == "parquet":
+        df.write.partitionBy(*partition_by).parquet(path)
+    elif form in SEPARATORS:
+        # the writer quotes fields that open with its comment character, a number sign unless set
+        as_text(df).write.partitionBy(*partition_by).option("comment", "\u0001").csv(
+            path, sep=SEPARATORS[form], quote='"', escape='"', emptyValue="",
+            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        )
+    else:
+        raise ValueError(f"unknown format {form!r}")
+
+
 def write_table(df: DataFrame, path: str, form: str = "parquet", partition_by: tuple[str, ...] = ()) -> None:
     """Write as ``parquet``, ``csv`` or ``tsv``; what is there is replaced once the new table is complete.
 
-    The table is written to a sibling folder first. A job that fails leaves the old one as it was.
+    The table is written to a sibling folder first. A job that fails leaves the old one as it was, and a rename that
+    fails moves it back. Where renames are no single step, use ``versions``.
     """
-    separators = {"csv": ",", "tsv": "\t"}
-    if form != "parquet" and form not in separators:
-        raise ValueError(f"unknown format {form!r}")
     spark, mark = df.sparkSession, uuid.uuid4().hex
     new, old = f"{path.rstrip('/')}.new-{mark}", f"{path.rstrip('/')}.old-{mark}"
     files, target = file_system(spark, path)
     _, fresh = file_system(spark, new)
     try:
-        if form == "parquet":
-            df.write.partitionBy(*partition_by).parquet(new)
-        else:
-            # the writer quotes fields that open with its comment character, a number sign unless set
-            as_text(df).write.partitionBy(*partition_by).option("comment", "\u0001").csv(
-                new, sep=separators[form], quote='"', escape='"', emptyValue="",
-                ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-            )
+        write_files(df, new, form, partition_by)
     except Exception:
         files.delete(fresh, True)
         raise
     _, aside = file_system(spark, old)
     replaced = files.exists(target)
-    if replaced and not files.rename(target, aside):
+    if replaced and not _moved(files, target, aside):
         raise OSError(f"{path} can't be moved aside; the new table is {new}")
-    if not files.rename(fresh, target):
-        raise OSError(f"{new} can't be moved to {path}")
+    if not _moved(files, fresh, target):
+        if replaced and not _moved(files, aside, target):
+            raise OSError(f"neither {new} nor the old table can be moved to {path}; the old one is {old}")
+        raise OSError(f"{new} can't be moved to {path}, which is as it was")
     if replaced:
         files.delete(aside, True)
 
 
+def _moved(files, source, target) -> bool:
+    """Whether a rename went through; a file system may say no or raise."""
+    try:
+        return files.rename(source, target)
+    except Exception:  # noqa: BLE001
+        return False
+
+
 def publish(
     df: DataFrame,
     path: str,
