@@ -29,8 +29,7 @@ def main(arguments: list[str] | None = None) -> dict[str, str]:
         if isinstance(field.default, bool):
             parser.add_argument(flag, action=argparse.BooleanOptionalAction, default=field.default)
         else:
-            kind = str if isinstance(field.default, str) else int
-            parser.add_argument(flag, type=kind, default=field.default, help=f"default {field.default!r}")
+            parser.add_argument(flag, type=type(field.default), default=field.default, help=f"default {field.default!r}")
     given = parser.parse_args(arguments)
     settings = Settings(**{f.name: getattr(given, f.name) for f in dataclasses.fields(Settings)})
 
