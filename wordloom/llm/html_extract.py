@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -23,17 +24,18 @@ from wordloom.session import stage_table
 
 #: A path wins within a page if it holds this share of the best path's score and is deeper.
 SHARE = 0.8
-#: A block of so many bytes, or a heading, is the article's unless more than half of it is links.
+#: A block of so many bytes, or a heading, widens the path to hold it unless more than half of it is links.
 LEAST_BLOCK = 20
 #: What article and main elements gain over plain containers.
 GAIN = 1.5
 
+#: Outside of quotes no tag reaches over the next ``<``, so each byte is looked at a bounded number of times.
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|title|textarea|noscript|template|iframe|svg|select|xmp)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
+    r"|<(script|style|title|textarea|noscript|template|iframe|svg|select|xmp)\b(?:(?:[^\"'<>]++|\"[^\"]*+\"|'[^']*+')*+|[^<>]*+)>.*?(?:</\1\s*>|\Z)"
+    r"|<[!?][^<>]*+>"
+    r"|<(/?)([a-zA-Z][^\s/<>]*+)((?:[^\"'<>]++|\"[^\"]*+\"|'[^']*+')*+)>"
+    r"|<(/?)([a-zA-Z][^\s/<>]*+)([^<>]*+)>",
     re.DOTALL | re.IGNORECASE,
 )
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
@@ -57,12 +59,66 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
 class Block:
-    """Text between two block boundaries with the path it stands in and the marked containers around it."""
+    """Text between two block boundaries with the node it stands in and the innermost marked container around it."""
 
-    __slots__ = ("heading", "linked", "marks", "path", "text")
+    __slots__ = ("heading", "linked", "mark", "node", "text")
 
-    def __init__(self, path: str, text: str, linked: int, heading: bool = False, marks: tuple = ()):
-        self.path, self.text, self.linked, self.heading, self.marks = path, text, linked, heading, marks
+    def __init__(self, node: int, text: str, linked: int, heading: bool = False, mark: int = -1):
+        self.node, self.text, self.linked, self.heading, self.mark = node, text, linked, heading, mark
+
+
+class Page:
+    """Blocks in order, and the paths they stand in as a trie: a node is a generalised path, 0 the page itself.
+
+    Nodes come after their parents, so sums over all that is below take one pass from the last to the first.
+    """
+
+    def __init__(self) -> None:
+        self.blocks: list[Block] = []
+        self.parent, self.step, self.depth = [-1], [""], [0]
+        self.children: dict[tuple[int, str], int] = {}
+
+    def child(self, node: int, step: str) -> int:
+        found = self.children.get((node, step))
+        if found is None:
+            found = self.children[node, step] = len(self.parent)
+            self.parent.append(node)
+            self.step.append(step)
+            self.depth.append(self.depth[node] + 1)
+        return found
+
+    def tag(self, node: int) -> str:
+        return self.step[node].split(".")[0]
+
+    def path(self, node: int) -> str:
+        steps = []
+        while node > 0:
+            steps.append(self.step[node])
+            node = self.parent[node]
+        return ">".join(reversed(steps))
+
+    def find(self, path: str) -> int | None:
+        """The node of a path, if the page has it."""
+        node: int | None = 0
+        for step in path.split(">") if path else ():
+            node = self.children.get((node, step))
+            if node is None:
+                return None
+        return node
+
+    def below(self, values: list) -> list:
+        """For each node the sum of the values at it and below it."""
+        total = list(values)
+        for node in range(len(total) - 1, 0, -1):
+            total[self.parent[node]] += total[node]
+        return total
+
+    def within(self, root: int) -> list[bool]:
+        """Whether each node is ``root`` or below it."""
+        inside = [False] * len(self.parent)
+        for node in range(len(inside)):
+            inside[node] = node == root or (node > 0 and inside[self.parent[node]])
+        return inside
 
 
 def _marks_of(name: str) -> frozenset:
@@ -85,51 +141,72 @@ def _step(tag: str, attributes: str) -> tuple[str, bool, frozenset]:
     return ".".join([tag, *sorted(set(classes) - {""})]), tag in DROPPED, marks
 
 
-def _without_marked(found: list[Block], readers: list[bool], articles: list[tuple]) -> list[Block]:
+def _without_marked(found: list[Block], outer: list[int], readers: list[bool], articles: list[int]) -> list[Block]:
     """The blocks outside of marked containers, of which those that hold the article are none.
 
     Those are the ones with an article or main element, if there is none outside, and those with most of the
-    page's unlinked text. ``readers`` tells of each marked container, outer ones first, whether it holds what readers
-    wrote, which needs both; ``articles`` has the marked containers around each article or main element.
+    page's unlinked text. ``outer`` is the marked container around each one, ``readers`` tells whether it holds what readers
+    wrote, which needs both; ``articles`` has the innermost marked container around each article or main element.
     """
-    held, holds, dropped = [0] * len(readers), {k for a in articles for k in a}, set(range(len(readers)))
+    held, holds, clear = [0] * len(outer), [False] * len(outer), [False] * len(outer)
     whole = 0
     for b in found:
         value = max(0, len(b.text) - b.linked)
         whole += value
-        for k in b.marks:
-            held[k] += value
-    for k, by_readers in enumerate(readers):
+        if b.mark >= 0:
+            held[b.mark] += value
+    for a in articles:
+        if a >= 0:
+            holds[a] = True
+    for k in range(len(outer) - 1, -1, -1):
+        if outer[k] >= 0:
+            held[outer[k]] += held[k]
+            holds[outer[k]] |= holds[k]
+    around, free = set(articles), -1 in articles
+    for k, by_readers in enumerate(readers):  # outer ones first
         most = 2 * held[k] > whole
-        if (most or k in holds) and not (by_readers and not most):
-            only = k in holds and not any(dropped.isdisjoint(a) for a in articles)
-            if only or (most and not by_readers):
-                dropped.discard(k)
-    return [b for b in found if dropped.isdisjoint(b.marks)]
+        if (most or holds[k]) and not (by_readers and not most) and ((holds[k] and not free) or (most and not by_readers)):
+            clear[k] = outer[k] < 0 or clear[outer[k]]
+            free |= clear[k] and k in around
+    return [b for b in found if b.mark < 0 or clear[b.mark]]
 
 
-def blocks(page: str) -> list[Block]:
-    """Blocks of a page in order, without those that never count."""
-    out: list[Block] = []
-    stack: list[tuple[str, str, bool, tuple]] = []  # tag, path, dropped, marked containers
+def blocks(text: str) -> Page:
+    """A page's blocks in order, without those that never count."""
+    page = Page()
+    stack: list[tuple[str, int, bool, int]] = []  # tag, node, dropped, marked container
+    opened: Counter = Counter()
     pieces: list[str] = []
+    outer: list[int] = []
     readers: list[bool] = []
-    articles: list[tuple] = []
+    articles: list[int] = []
     linked = in_link = at = 0
     heading = False
 
     def close() -> None:
-        nonlocal linked, in_link
+        nonlocal linked
         if pieces:
-            text = " ".join(html.unescape("".join(pieces)).split())
-            if text and not (stack and stack[-1][2]):
-                out.append(Block(stack[-1][1] if stack else "", text, linked, heading, stack[-1][3] if stack else ()))
+            found = " ".join(html.unescape("".join(pieces)).split())
+            if found and not (stack and stack[-1][2]):
+                page.blocks.append(Block(stack[-1][1] if stack else 0, found, linked, heading, stack[-1][3] if stack else -1))
             pieces.clear()
         linked = 0
 
-    for m in TOKEN.finditer(page):
+    def leave(tag: str) -> None:
+        if opened[tag]:
+            last = None
+            while last != tag:
+                last = stack.pop()[0]
+                opened[last] -= 1
+
+    def enter(tag: str, step: str, dropped: bool, mark: int | None = None) -> None:
+        node, above, around = stack[-1][1:] if stack else (0, False, -1)
+        stack.append((tag, page.child(node, step), dropped or above, around if mark is None else mark))
+        opened[tag] += 1
+
+    for m in TOKEN.finditer(text):
         if m.start() > at:
-            pieces.append(page[at : m.start()])
+            pieces.append(text[at : m.start()])
             linked += (m.start() - at) * bool(in_link)
         at = m.end()
         tag = (m[3] or m[6] or "").lower()
@@ -141,89 +218,96 @@ def blocks(page: str) -> list[Block]:
                 in_link = not closing
             elif tag == "br" and pieces:
                 pieces.append(" ")
-            elif tag == "button":
-                _skip(stack, closing, pieces, close)
+            elif tag == "button":  # its text is closed off like that of a dropped container
+                close()
+                if closing:
+                    leave("button")
+                else:
+                    enter("button", "button", True)
             continue
         close()
         heading = tag in HEADINGS and not closing
         if tag not in CONTAINERS:
             continue
         if closing:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
+            leave(tag)
         elif not (m[4] or m[7] or "").endswith("/"):
             step, dropped, marks = _step(tag, m[4] or m[7] or "")
-            path, above, around = (f"{stack[-1][1]}>{step}", stack[-1][2], stack[-1][3]) if stack else (step, False, ())
+            above, around = stack[-1][2:] if stack else (False, -1)
+            mark = None
             if tag in ("article", "main"):
                 if not (dropped or above or marks):
                     articles.append(around)
             elif marks and tag not in ("body", "html"):
-                around = (*around, len(readers))
+                mark = len(outer)
+                outer.append(around)
                 readers.append(not READERS.isdisjoint(marks))
-            stack.append((tag, path, dropped or above, around))
-    if at < len(page):
-        pieces.append(page[at:])
+            enter(tag, step, dropped, mark)
+    if at < len(text):
+        pieces.append(text[at:])
     close()
-    return _without_marked(out, readers, articles)
+    page.blocks = _without_marked(page.blocks, outer, readers, articles)
+    return page
 
 
-def _skip(stack: list, closing: str, pieces: list, close) -> None:
-    """A button's text is closed off like that of a dropped container."""
-    close()
-    if closing:
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] == "button":
-                del stack[k:]
-                break
-    else:
-        stack.append(("button", f"{stack[-1][1]}>button" if stack else "button", True, ()))
+def best_node(page: Page) -> tuple[int, float]:
+    """The node the page votes for and the best score: text held at or below a node, less what is linked.
 
-
-def best_path(found: list[Block]) -> tuple[str, float]:
-    """The path the page votes for and the best score: text held at or below a path, less what is linked.
-
-    The deepest path of ``SHARE`` of the best score is widened to hold all blocks of the article: those of the article
-    or main element that it stands in, or of the whole page.
+    The deepest node of ``SHARE`` of the best score, the one with more and then the first, is widened to hold all blocks of the
+    article: those of the article or main element that it stands in, or of the whole page.
     """
-    scores: dict[str, float] = {}
-    for b in found:
-        value = max(0, len(b.text) - 2 * b.linked)
-        steps = b.path.split(">")
-        for k in range(1, len(steps) + 1):
-            path = ">".join(steps[:k])
-            scores[path] = scores.get(path, 0) + value
-    for path in scores:
-        if re.split(r"[.>]", path[path.rfind(">") + 1 :])[0] in ("article", "main"):
-            scores[path] *= GAIN
-    if not scores:
-        return "", 0.0
-    most = max(scores.values())
-    steps = max((p.count(">"), s, p) for p, s in scores.items() if s >= SHARE * most)[2].split(">")
-    root = next((steps[: k + 1] for k, step in enumerate(steps) if re.split("[.]", step)[0] in ("article", "main")), [])
-    for b in found:
-        if 2 * b.linked <= len(b.text) and (b.heading or len(b.text.encode("utf-8", "replace")) >= LEAST_BLOCK):
-            own = b.path.split(">")
-            if own[: len(root)] == root:
-                same = next((k for k, (x, y) in enumerate(zip(steps, own, strict=False)) if x != y), min(len(steps), len(own)))
-                steps = steps[:same]
-    return ">".join(steps), most
-
-
-def text_along(found: list[Block], path: str | None) -> str:
-    """The blocks at or below ``path``, or below the page's own best path if it has none there."""
-    along = [b.text for b in found if path and (b.path == path or b.path.startswith(path + ">"))]
-    if not along:
-        own = best_path(found)[0]
-        along = [b.text for b in found if b.path == own or b.path.startswith(own + ">") or not own]
-    return "\n".join(along)
+    values, many = [0] * len(page.parent), [0] * len(page.parent)
+    for b in page.blocks:
+        values[b.node] += max(0, len(b.text) - 2 * b.linked)
+        many[b.node] += 1
+    held = page.below(many)
+    scores: list[float] = [s * GAIN if page.tag(n) in ("article", "main") else s for n, s in enumerate(page.below(values))]
+    some = [n for n in range(1, len(held)) if held[n]]
+    if not some:
+        return 0, 0.0
+    most = max(scores[n] for n in some)
+    best = max((n for n in some if scores[n] >= SHARE * most), key=lambda n: (page.depth[n], scores[n], -n))
+    root, up = 0, best
+    while up > 0:  # the outermost article or main around it
+        root, up = (up if page.tag(up) in ("article", "main") else root), page.parent[up]
+    inside = page.within(root)
+    wanted = [0] * len(page.parent)
+    for b in page.blocks:
+        if inside[b.node] and 2 * b.linked <= len(b.text) and (b.heading or len(b.text.encode("utf-8", "replace")) >= LEAST_BLOCK):
+            wanted[b.node] += 1
+    wanted[best] += 1
+    below = page.below(wanted)
+    while below[best] < below[0]:
+        best = page.parent[best]
+    return best, most
+
+
+def text_along(page: Page, path: str | None) -> str:
+    """The blocks at or below ``path``, or below the page's own best path if it has none there.
+
+    Blocks of any length that stand right beside the path's container, in the one around it, belong to the article as
+    well, unless they are links for the most part, the one around is the whole page, or the path ends with the article element.
+    """
+    node = page.find(path) if path else None
+    inside = page.within(node) if node else []
+    if not any(inside[b.node] for b in page.blocks if inside):
+        node = best_node(page)[0]
+        inside = page.within(node)
+    beside = page.parent[node]
+    if beside <= 0 or page.tag(beside) in ("html", "body") or page.tag(node) in ("article", "main"):
+        beside = -1
+    return "\n".join(b.text for b in page.blocks if inside[b.node] or (b.node == beside and 2 * b.linked <= len(b.text)))
 
 
 def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        best = [best_path(blocks(page or "")) for page in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([p for p, _ in best], pa.string()), pa.array([s for _, s in best], pa.float64())], ["host", "path", "score"])
+        paths, scores = [], []
+        for text in batch.column(1).to_pylist():
+            page = blocks(text or "")
+            node, score = best_node(page)
+            paths.append(page.path(node))
+            scores.append(score)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(paths, pa.string()), pa.array(scores, pa.float64())], ["host", "path", "score"])
 
 
 def votes(pages: DataFrame) -> DataFrame:
@@ -241,7 +325,7 @@ def votes(pages: DataFrame) -> DataFrame:
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         pairs = zip(batch.column("html").to_pylist(), batch.column("path").to_pylist(), strict=True)
-        texts = pa.array([text_along(blocks(page or ""), path) for page, path in pairs], pa.string())
+        texts = pa.array([text_along(blocks(text or ""), path) for text, path in pairs], pa.string())
         yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), texts], ["page_id", "url", "text"])
 
 
