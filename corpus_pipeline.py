@@ -31,27 +31,42 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _with_text(judged.select("doc_id.*", "clean_text"), F.col("clean_text"))
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """The columns of documents, ``row_key`` and ``again``: unlike rows have unlike keys, whatever their doc_id.
+
+    The key is the doc_id where all rows of that id agree, which is the usual case and needs no join. Rows without a doc_id, or
+    with one that unlike rows have as well, get a hash of all columns above 2 ** 62, so that they come after the others. ``again``
+    marks rows that may have the key of another one, with which they then agree in all columns.
+    """
+    rows = docs.select(*COLUMNS, F.xxhash64(*COLUMNS).alias("mark"))
+    ids = rows.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("k"), (F.min("mark") < F.max("mark")).alias("unlike"))
+    repeated = stage_table(ids.where("k > 1").select("doc_id", "unlike"), "repeated")
+    unlike, again = F.col("doc_id").isNull(), F.col("doc_id").isNull()
+    if not repeated.isEmpty():
+        rows = rows.join(decontam.small(repeated), "doc_id", "left")
+        unlike, again = unlike | F.coalesce("unlike", F.lit(False)), again | F.col("unlike").isNotNull()
+    key = F.when(unlike, F.lit(1 << 62) + F.col("mark").bitwiseAND((1 << 61) - 1)).otherwise(F.col("doc_id").cast("bigint"))
+    return rows.select(*COLUMNS, key.alias("row_key"), again.alias("again"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component: the one with the smallest doc_id, once.
 
-    Rows that repeat a doc_id keep the row with the least text. Rows without a doc_id are kept.
+    Rows without a doc_id, or with one that unlike rows share, are compared by their own texts and give way to rows of their
+    component with an id of their own; of rows that agree in all columns one stays.
     """
-    linked = jaccard_join.jaccard_components(docs, width=5, percent=80)
-    kept = stage_table(linked.where("doc_id = component_id").select("doc_id").distinct(), "kept")
-    named = docs.select(*COLUMNS).join(decontam.small(kept), "doc_id", "left_semi")
-    unnamed = docs.where("doc_id is null").select(*COLUMNS)
-    repeated = stage_table(docs.groupBy("doc_id").agg(F.count("*").alias("k")).where("k > 1 and doc_id is not null").select("doc_id"), "repeated")
-    if repeated.isEmpty():  # the usual case: the same rows by a shorter plan
-        return named.unionByName(unnamed)
-    once = named.join(decontam.small(repeated), "doc_id", "left_anti")
-    least = named.join(decontam.small(repeated), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("r"))
-    return once.unionByName(least.select("doc_id", "r.*")).unionByName(unnamed)
+    rows = _keyed(docs)
+    linked = jaccard_join.jaccard_components(rows.select(F.col("row_key").alias("doc_id"), "text"), width=5, percent=80)
+    kept = stage_table(linked.where("doc_id = component_id").select(F.col("doc_id").alias("row_key")).distinct(), "kept")
+    left = rows.join(decontam.small(kept), "row_key", "left_semi")
+    return left.where(~F.col("again")).select(*COLUMNS).unionByName(left.where("again").dropDuplicates(["row_key"]).select(*COLUMNS))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item; rows without a doc_id are dropped, as they can't be checked."""
-    leaks = decontam.contained_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.where("doc_id is not null").join(decontam.small(leaks.select("doc_id").distinct()), "doc_id", "left_anti").select(*COLUMNS)
+    """Documents that hold no benchmark item; each row is judged by its own text, whatever its doc_id."""
+    rows = _keyed(docs)
+    leaks = decontam.contained_items(rows.select(F.col("row_key").alias("doc_id"), "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return rows.join(decontam.small(leaks.select(F.col("doc_id").alias("row_key")).distinct()), "row_key", "left_anti").select(*COLUMNS)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
