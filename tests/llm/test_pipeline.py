@@ -84,10 +84,24 @@ def test_odd_rows_and_empty_tables(spark, k):
     if k < 4:
         assert made.columns == list(corpus_pipeline.COLUMNS)
     ids = sorted((r.doc_id for r in made.collect()), key=str)
-    assert ids == {0: [3, 3, 4, None], 1: [1, 2, 3, 5, None], 2: [1, 2, 3, 3, 4, 5], 3: [1, 2, 3, 3, 4, 5, None], 4: [1, 2, 3, 3, 4, 5, None]}[k]
+    assert ids == {0: [3, 3, 4, None], 1: [1, 2, 3, 5, None], 2: [1, 2, 3, 3, 4, 5, None], 3: [1, 2, 3, 3, 4, 5, None], 4: [1, 2, 3, 3, 4, 5, None]}[k]
     assert stage(spark, docs.limit(0), SF).count() == 0
 
 
+def test_rows_of_one_id_or_none_are_judged_by_their_own_texts(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    rows = [
+        (1, prose(1)), (1, prose(2)), (1, prose(2)), (None, prose(3)), (None, prose(4)), (None, prose(4)), (7, prose(4)), (8, prose(8)), (8, prose(8)),
+        (9, prose(9) + item), (9, prose(10)), (None, prose(11) + item), (None, prose(12)),
+    ]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint").repartition(3)
+    once = sorted(((r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()), key=str)
+    wanted = [*rows[:2], rows[3], (7, prose(4)), (8, prose(8)), *rows[9:]]
+    assert once == sorted(wanted, key=str)
+    clean = sorted(((r.doc_id, r.text) for r in corpus_pipeline.decontaminate(spark, docs, SF).collect()), key=str)
+    assert clean == sorted((r for r in rows if item not in r[1]), key=str)
+
+
 def test_the_last_stage_names_its_columns(spark):
     docs = spark.createDataFrame([(1, "a b", "s")], "doc_id bigint, text string, source string")
     assert mixing.mix(docs).columns == ["doc_id", "source", "size", "source_size", "target", "repeats", "taken"]
