@@ -69,3 +69,13 @@ def test_pieces_change_only_what_lies_across_their_ends(monkeypatch):
 def test_held_out_rows(spark):
     rows = spark.range(50).select("id", lang_id.held_out("id", 4, 2).alias("out")).collect()
     assert all(r.out == (zlib.crc32(str(r.id).encode()) % 4 == 2) for r in rows)
+
+
+def test_pieces_have_the_n_grams_of_the_whole_text(monkeypatch):
+    texts = ["", "a", "ab cd", "  Straße — Ünder  12 the end.", "ΑΣ ΣΑΣ word" * 7, "x" * 30, " " * 25, "a  b" * 9]
+    whole = [np.sort(lang_id.gram_codes(t)) for t in texts]
+    for size in (1, 2, 3, 5, 8):
+        monkeypatch.setattr(lang_id, "PIECE", size)
+        for text, codes in zip(texts, whole, strict=True):
+            assert (np.sort(np.concatenate(list(lang_id.gram_pieces(text)))) == codes).all()
+    assert lang_id.bundles(texts).shape == (len(texts), lang_id.DIM)

@@ -20,7 +20,7 @@ DIM = 512
 GRAM = 3
 SEED = 11
 UNKNOWN = "und"
-#: Characters of text handled at a time; a longer text is bundled piece by piece.
+#: Characters of text handled at a time; a longer text is bundled piece by piece, with the same n-grams.
 PIECE = 1 << 19
 #: Most languages that prototypes are broadcast for; more are refused.
 MAX_LANGUAGES = 10_000
@@ -38,11 +38,8 @@ def _letter_vector(code: int) -> np.ndarray:
     return np.random.default_rng([SEED, code]).integers(0, 2, DIM, np.int8) * 2 - 1
 
 
-def gram_codes(text: str) -> np.ndarray:
-    """The n-grams of a lower-cased text, numbered by their letters; what lies between words is one blank."""
-    points = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), np.uint32)
-    points = np.where(_letters()[points], points, 32).astype(np.int64)
-    points = points[np.concatenate([[True], (points[1:] != 32) | (points[:-1] != 32)])]
+def _codes(points: np.ndarray) -> np.ndarray:
+    """The n-grams of letters and single blanks, numbered by their letters."""
     n = len(points) - GRAM + 1
     if n < 1:
         return points[:0]
@@ -52,6 +49,11 @@ def gram_codes(text: str) -> np.ndarray:
     return codes
 
 
+def gram_codes(text: str) -> np.ndarray:
+    """The n-grams of a lower-cased text; what lies between words is one blank."""
+    return np.concatenate(list(gram_pieces(text)))
+
+
 def gram_vectors(codes: np.ndarray) -> np.ndarray:
     """One bound vector per n-gram number."""
     out = np.ones((len(codes), DIM), np.int8)
@@ -61,9 +63,16 @@ def gram_vectors(codes: np.ndarray) -> np.ndarray:
     return out
 
 
-def _pieces(text: str) -> Iterator[str]:
+def gram_pieces(text: str) -> Iterator[np.ndarray]:
+    """The n-grams of a text, those of ``PIECE`` characters at a time; the ones over a cut belong to the later piece."""
+    text, tail = text.lower(), np.array([32], np.int64)
     for k in range(0, max(1, len(text)), PIECE):
-        yield text[k : k + PIECE]
+        end = " " if k + PIECE >= len(text) else ""
+        points = np.frombuffer((text[k : k + PIECE] + end).encode("utf-32-le", "surrogatepass"), np.uint32)
+        points = np.concatenate([tail, np.where(_letters()[points], points, 32).astype(np.int64)])
+        points = points[np.concatenate([[True], (points[1:] != 32) | (points[:-1] != 32)])]
+        yield _codes(points)
+        tail = points[-(GRAM - 1) :]
 
 
 def bundles(texts: list[str]) -> np.ndarray:
@@ -81,12 +90,12 @@ def bundles(texts: list[str]) -> np.ndarray:
 
     held = 0
     for k, text in enumerate(texts):
-        for piece in _pieces(text):
-            if held + len(piece) > PIECE:
+        for codes in gram_pieces(text):
+            if held + len(codes) > PIECE:
                 settle()
                 held = 0
-            queue.append((k, *np.unique(gram_codes(piece), return_counts=True)))
-            held += len(piece)
+            queue.append((k, *np.unique(codes, return_counts=True)))
+            held += len(codes)
     settle()
     return out
 
@@ -100,8 +109,8 @@ def _bundle_languages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         for lang in set(langs):
             total, n, held = {}, 0, []
             for text in texts[langs == lang]:
-                for piece in _pieces(text):
-                    held.append(gram_codes(piece))
+                for grams in gram_pieces(text):
+                    held.append(grams)
                     n += len(held[-1])
                     if n > PIECE:
                         _count(total, held)
