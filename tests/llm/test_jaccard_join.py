@@ -2,6 +2,7 @@ import collections
 import random
 import re
 
+import numpy as np
 import pytest
 
 from wordloom.llm import jaccard_join
@@ -98,3 +99,58 @@ def test_components_of_a_long_path_and_a_star(spark):
     links = spark.createDataFrame([*path, *star, (7, 7)], "a bigint, b bigint")
     got = {r.id: r.component for r in components(links).collect()}
     assert got == {**dict.fromkeys(range(100, 141), 100), **dict.fromkeys(range(500, 540), 500)}
+
+
+def all_links(rows, width=4, percent=85):
+    """Links of distinct sets by their smallest ids with the overlap, and per row its class and number of links."""
+    sets = []
+    for _, text in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
+        sets.append(frozenset(tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))) if w else frozenset())
+    name = {s: min(rows[k][0] for k in range(len(rows)) if sets[k] == s) for s in set(sets) if s}
+    agree = lambda s, t: s and t and 100 * len(s & t) >= percent * len(s | t)
+    links = sorted((name[s], name[t], len(s & t)) for s in name for t in name if name[s] < name[t] and agree(s, t))
+    members = sorted((rows[k][0], len(s), name.get(s, -1), sum(bool(agree(s, t)) for j, t in enumerate(sets) if j != k)) for k, s in enumerate(sets))
+    return members, links
+
+
+@pytest.mark.parametrize("split, step, cell", [(256, 1 << 20, 1 << 21), (2, 50, 1 << 11)])
+def test_links_equal_all_pairs(frame, monkeypatch, split, step, cell):
+    monkeypatch.setattr(jaccard_join, "SPLIT", split)
+    monkeypatch.setattr(jaccard_join, "STEP", step)
+    monkeypatch.setattr(jaccard_join, "CELL", cell)
+    rows = near_copies(6, groups=3, size=20, foreign=20)
+    rows += [(20_000 + k, text) for k, (_, text) in enumerate(rows[:7])] + [(30_000, None), (30_001, "")]
+    members, links = jaccard_join.jaccard_links(frame(rows, "doc_id bigint, text string"))
+    wanted = all_links(rows)
+    assert wanted[1]
+    assert sorted(tuple(r) for r in links.collect()) == wanted[1]
+    assert sorted((r.doc_id, r.n_shingles, -1 if r.class_id is None else r.class_id, r.n_links) for r in members.collect()) == wanted[0]
+    assert got(frame, rows) == expected(rows)
+
+
+def test_ids_that_unlike_texts_share(frame):
+    rows = near_copies(8, groups=2, size=6, foreign=0)
+    rows = [(k // 2, text) for k, (_, text) in enumerate(rows)]
+    sets = expected(rows)
+    made = got(frame, rows)
+    assert [r[:2] for r in made] == [r[:2] for r in sets]
+    assert {r[2] for r in made} <= {r[0] for r in rows}
+
+
+def test_names_keep_whole_hashes():
+    rng = np.random.default_rng(3)
+    hashes = np.sort(rng.integers(0, 1 << 64, 20_000, np.uint64))
+    for blocks in (256, 257, 1000):
+        block = jaccard_join.block_of(hashes, blocks)
+        low = jaccard_join.unpack(jaccard_join.pack(hashes))
+        back = np.concatenate([jaccard_join.column_names(low[block == k], k, blocks) for k in range(blocks)])
+        assert (back == hashes).all()
+
+
+def test_hot_columns_of_long_texts_are_seen(frame):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghijklm", k=8))
+    rows = [(k, " ".join([word() for _ in range(4000)] + (["one", "two", "three", "four"] if k % 30 == 0 else []))) for k in range(240)]
+    found = jaccard_join.describe(frame(rows, "doc_id bigint, text string").coalesce(1)).where("hot is not null").collect()
+    assert sum(h.n for r in found for h in r.hot) >= 4
