@@ -106,3 +106,40 @@ def test_null_ids_and_no_rows(spark, tmp_path):
     pages = spark.createDataFrame([], SCHEMA)
     manifest = warc.write(pages, str(tmp_path / "none"))
     assert manifest.count() == 0 and warc.read(manifest, str(tmp_path / "none")).count() == 0
+
+
+def shard_bytes(manifest):
+    out = {}
+    for r in manifest.collect():
+        out[r.shard] = out.get(r.shard, 0) + r.records
+    return out
+
+
+@pytest.mark.parametrize("kind", ["hashed", "one far id", "one id", "null ids"])
+def test_shards_are_even_whatever_the_ids(spark, tmp_path, kind):
+    key = {"hashed": lambda k: (k * 0x9E3779B97F4A7C15) % (1 << 63), "one far id": lambda k: k if k else 1 << 62, "one id": lambda k: 7, "null ids": lambda k: None}[kind]
+    rows = [(key(k), f"u{k}", f"{k:04d}" * 125) for k in range(400)]
+    manifest, got = written(spark, rows, tmp_path / "a", 3, shard=20 * 1012)
+    held = shard_bytes(manifest)
+    assert len(held) == 20 and max(held.values()) <= 22 and sum(held.values()) == 400
+    assert {r[4] for r in got} == {"response"} and len(got) == 400
+    written(spark, rows[::-1], tmp_path / "b", 5, shard=20 * 1012)
+    assert files(tmp_path / "a") == files(tmp_path / "b")
+
+
+def test_large_groups_of_copies_are_looked_up(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "HOT_COPIES", 20)
+    rows = page_rows() + [(1000 + k, "u", "copy") for k in range(60)] + [(None, "u", "copy"), (1000, "u", "other")]
+    _, got = written(spark, rows, tmp_path / "out", shard=10_000)
+    known = expected([r for r in rows if r[0] is not None])
+    assert [r for r in got if r[0] is not None] == known
+    assert [r[4] for r in got if r[0] is None] == ["response"]
+
+
+def test_halving_counts_the_cuts_before(spark):
+    cuts = sorted({(k * k % 97, k % 5 - 2) for k in range(60)} | {(-(1 << 63), 0), ((1 << 63) - 1, 1)})
+    keys = [(a, b) for a in [-(1 << 63), *range(-1, 99), (1 << 63) - 1] for b in range(-3, 4)]
+    for some in ([], cuts[:1], cuts[:7], cuts):
+        table = spark.createDataFrame(keys, "key bigint, mark bigint")
+        got = table.select("key", "mark", warc.shard_of(table["key"], table["mark"], some).alias("s")).collect()
+        assert all(r.s == sum(c <= (r.key, r.mark) for c in some) for r in got)

@@ -1,8 +1,9 @@
 """Deterministic sharded WARC archives.
 
-Records are dealt to shards by ranges of their id that hold about equal bytes; the cuts follow from a
-histogram, not from a sample, so equal rows always give equal files. Each shard is sorted and written
-as one gzip member per record; a file is closed when its compressed size reaches ``roll``. Files get
+Records are dealt to shards by ranges of their id (and of a hash of the payload, for rows of one id)
+that hold about equal bytes; the cuts follow from a running sum over all rows, not from a sample, so
+equal rows always give equal files. Each shard is one task, sorted and written as one gzip member per
+record; a file is closed when its compressed size reaches ``roll``. Files get
 temporary names of their attempt; a manifest of what successful tasks wrote is staged, and only what it
 lists is renamed. A failed or repeated attempt leaves nothing that a reader sees.
 
@@ -25,13 +26,19 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wordloom.llm.decontam import small
+from wordloom.operators.sharding import shard_by_bytes
 from wordloom.session import stage_table
 
 #: Compressed bytes after which a file is closed, and bytes of payload per shard.
 ROLL = 16 << 20
 SHARD = 64 << 20
-#: Equal ranges of ids whose bytes are counted to cut the shards.
-BINS = 4096
+#: Most shards; larger inputs have larger ones.
+MAX_SHARDS = 1 << 16
+#: Bytes of a record besides its payload, about.
+OVERHEAD = 512
+#: Rows of one payload that may meet in one task.
+HOT_COPIES = 1 << 16
 LEVEL = 6
 #: Records of smaller payloads are never revisits.
 MIN_REVISIT = 0
@@ -39,6 +46,8 @@ MIN_REVISIT = 0
 DATE = "2000-01-01T00:00:00Z"
 
 FILES = "shard bigint, file string, temporary string, records bigint, bytes bigint, first_id bigint, last_id bigint, sha1 string"
+#: Order of the records: by id (null first), then by a hash of the payload.
+PLACE = ["coalesce(page_id, -9223372036854775807L - 1L) AS key", "xxhash64(coalesce(html, '')) AS mark"]
 RECORDS = "page_id bigint, url string, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
 
 
@@ -46,38 +55,58 @@ def base32_sha1(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def references(pages: DataFrame, least: int = MIN_REVISIT) -> DataFrame:
-    """(page_id, sha1, refers_to) of the rows that revisit: ``refers_to`` is the smallest page_id of an equal payload.
+def described(pages: DataFrame) -> DataFrame:
+    """(key, mark, page_id, sha1, length) per row, staged: the place of a row in the order of ids, the digest and length of its payload.
 
-    Payloads are told apart by digest and length. Only groups of two and more are joined back, on the
-    digest and a part of the id, so that a group of any size is spread over ``PARTS`` tasks.
+    ``key`` is the page_id with the least number for null, ``mark`` a hash of the payload, which orders the rows of one id.
     """
-    payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
-    rows = pages.select("page_id", F.sha1(F.encode(payload, "UTF-8")).alias("sha1"), F.octet_length(payload).alias("length")).where("length >= %d" % least)
-    groups = rows.groupBy("sha1").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1")
-    spread = groups.select("sha1", "first_id", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))).alias("part"))
-    rows = rows.withColumn("part", F.pmod(F.xxhash64("page_id"), F.lit(PARTS)).cast("int"))
-    return rows.join(spread, ["sha1", "part"]).where("page_id <> first_id").select("page_id", "sha1", F.col("first_id").alias("refers_to")).distinct()
-
-
-PARTS = 16
-
-
-def shard_of(pages: DataFrame, size: Column, shard: int) -> Column:
-    """The shard of a row by its id: neighbouring ids together, about ``shard`` bytes each."""
-    low, high = pages.agg(F.min("page_id"), F.max("page_id")).first()
-    if low is None:
-        return F.lit(0).cast("bigint")
-    width = max(1, -(-(high - low + 1) // BINS))
-    bin_of = F.coalesce(((F.col("page_id") - low) / width).cast("bigint"), F.lit(0))
-    total, cuts = 0, []
-    for row in pages.groupBy(bin_of.alias("bin")).agg(F.sum(size).alias("bytes")).orderBy("bin").collect():  # at most BINS rows
-        if total >= shard:
-            cuts.append(row["bin"])
-            total = 0
-        total += row["bytes"] or 0
-    reached = [(bin_of >= F.lit(cut)).cast("bigint") for cut in cuts]
-    return F.size(F.filter(F.array(*map(F.lit, cuts)), lambda c: c <= bin_of)).cast("bigint") if reached else F.lit(0).cast("bigint")
+    payload = "coalesce(html, '')"
+    return stage_table(pages.selectExpr(*PLACE, "page_id", f"sha1(encode({payload}, 'UTF-8')) AS sha1", f"octet_length({payload}) AS length"), "warc-rows")
+
+
+def references(rows: DataFrame, least: int = MIN_REVISIT) -> DataFrame:
+    """(key, mark, page_id, sha1, refers_to) of the described ``rows`` that revisit: ``refers_to`` is the smallest page_id of an equal payload.
+
+    Payloads are told apart by their digest. Groups of more than ``HOT_COPIES`` rows are few (counted before they are broadcast)
+    and are looked up where their rows are; the others are joined by digest.
+    """
+    rows = rows.where(F.col("length") >= least)
+    groups = stage_table(rows.groupBy("sha1").agg(F.min("page_id").alias("first_id"), F.count("*").alias("n")).where("n > 1"), "warc-copies")
+    hot = small(groups.where(F.col("n") > HOT_COPIES).select("sha1", F.lit(True).alias("hot"), F.col("first_id").alias("hot_first")))
+    looked = rows.join(hot, "sha1", "left")
+    rest = looked.where("hot is null").join(groups.where(F.col("n") <= HOT_COPIES).select("sha1", "first_id"), "sha1")
+    found = looked.where("hot").withColumn("first_id", F.col("hot_first")).unionByName(rest, allowMissingColumns=True)
+    return found.where("page_id <> first_id").select("key", "mark", "page_id", "sha1", F.col("first_id").alias("refers_to")).distinct()
+
+
+def shard_cuts(rows: DataFrame, shard: int) -> list[tuple[int, int]]:
+    """The first (key, mark) of every shard but the first, from a sum of bytes over all described ``rows`` in order.
+
+    Shards hold about ``shard`` bytes each, whatever the ids: far, dense and repeated ones too. Only rows of one id with equal
+    payloads stay together. Beyond ``MAX_SHARDS`` they hold as many times more, so the list is bounded.
+    """
+    sizes = stage_table(rows.groupBy("key", "mark").agg(F.sum(F.col("length") + OVERHEAD).alias("bytes")), "warc-sizes")
+    total = sizes.agg(F.sum("bytes")).first()[0] or 0
+    n = min(MAX_SHARDS, -(-total // shard))
+    if n < 2:
+        return []
+    cut = shard_by_bytes(sizes, ["key", "mark"], F.col("bytes"), n).groupBy("shard_id").agg(F.min(F.struct("key", "mark")).alias("first"))
+    return sorted(tuple(r[0]) for r in cut.select("first").collect())[1:]  # at most MAX_SHARDS rows
+
+
+def shard_of(key: Column, mark: Column, cuts: list[tuple[int, int]]) -> Column:
+    """The number of cuts at or before (key, mark), by halving."""
+    if not cuts:
+        return F.lit(0)
+    # one constant each, not one expression per cut
+    keys, marks = (F.split(F.lit(",".join(map(str, side))), ",").cast("array<bigint>") for side in zip(*cuts, strict=True))
+
+    def step(at: Column, by: Column) -> Column:
+        cut_key, cut_mark = F.get(keys, at + by - 1), F.get(marks, at + by - 1)
+        return F.when((cut_key < key) | ((cut_key == key) & (cut_mark <= mark)), at + by).otherwise(at)
+
+    halves = [1 << k for k in reversed(range(len(cuts).bit_length()))]
+    return F.aggregate(F.array(*map(F.lit, halves)), F.lit(0), step)
 
 
 def _header(kind: str, fields: list[tuple[str, object]], block: bytes) -> bytes:
@@ -116,10 +145,10 @@ def _open(uri: str) -> tuple[pafs.FileSystem, str]:
 def _write(batches: Iterator[pa.RecordBatch], target: str, roll: int) -> Iterator[pa.RecordBatch]:
     """Writes the sorted records of one task; yields one row per closed file.
 
-    The references of a page_id come right before its pages, so pages are shuffled only once.
+    The references of a page_id and mark come right before their pages, so pages are shuffled only once.
     """
     system, root = _open(target)
-    attempt, sink, now, revisits, at_id = uuid.uuid4().hex, None, {}, {}, None
+    attempt, sink, now, revisits, at = uuid.uuid4().hex, None, {}, {}, None
 
     def closed() -> pa.RecordBatch:
         sink.close()
@@ -128,9 +157,9 @@ def _write(batches: Iterator[pa.RecordBatch], target: str, roll: int) -> Iterato
 
     part = 0
     for batch in batches:
-        for shard, page_id, page_row, sha1, refers_to, url, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if page_id != at_id:
-                revisits, at_id = {}, page_id
+        for shard, page_id, mark, page_row, sha1, refers_to, url, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if (page_id, mark) != at:
+                revisits, at = {}, (page_id, mark)
             if not page_row:
                 revisits[sha1] = refers_to
                 continue
@@ -180,13 +209,13 @@ def write(pages: DataFrame, target: str, roll: int = ROLL, shard: int = SHARD, l
     system, root = _open(target)
     system.create_dir(f"{root}/_temporary", recursive=True)
     rows = pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string"), F.col("html").cast("string"))
-    size = F.octet_length(F.coalesce("html", F.lit(""))) + 512
-    shard_by = shard_of(rows, size, shard)
-    none = lambda kind: F.lit(None).cast(kind)
-    notes = references(rows, least).select(shard_by.alias("shard"), "page_id", F.lit(0).alias("page_row"), "sha1", "refers_to", none("string").alias("url"), none("string").alias("html"))
-    records = rows.select(shard_by.alias("shard"), "page_id", F.lit(1).alias("page_row"), none("string").alias("sha1"), none("bigint").alias("refers_to"), "url", "html")
-    cuts = max(rows.sparkSession.sparkContext.defaultParallelism, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    dealt = notes.unionByName(records).repartition(cuts, "shard").sortWithinPartitions("shard", "page_id", "page_row", "url", "html")
+    known = described(rows)
+    cuts = shard_cuts(known, shard)
+    notes = references(known, least).selectExpr("key", "mark", "page_id", "0 AS page_row", "sha1", "refers_to", "string(null) AS url", "string(null) AS html")
+    records = rows.selectExpr(*PLACE, "page_id", "1 AS page_row", "string(null) AS sha1", "bigint(null) AS refers_to", "url", "html")
+    placed = notes.unionByName(records).withColumn("shard", shard_of(F.col("key"), F.col("mark"), cuts)).drop("key")
+    dealt = placed.repartitionById(len(cuts) + 1, "shard").sortWithinPartitions("page_id", "mark", "page_row", "url", "html")
+    dealt = dealt.select(F.col("shard").cast("bigint"), "page_id", "mark", "page_row", "sha1", "refers_to", "url", "html")
     files = dealt.mapInArrow(partial(_write, target=target, roll=roll), FILES)
     manifest = stage_table(files, "warc-manifest")
     return stage_table(manifest.mapInArrow(partial(_commit, target=target), FILES), "warc-committed")
