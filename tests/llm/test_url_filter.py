@@ -72,3 +72,28 @@ def test_nothing_or_one_kind_to_learn_from(spark, labelled):
 
 def test_empty_table(spark, model):
     assert url_filter.judge(spark.createDataFrame([], "page_id bigint, url string"), model).count() == 0
+
+
+def test_shares_count_all_labels_beyond_those_the_trees_see(spark, labelled, monkeypatch):
+    monkeypatch.setattr(url_filter, "MAX_LABELLED", 40)
+    few = url_filter.train(labelled.unionByName(labelled))  # repeated rows count once
+    urls = {url(k, k % 3 == 0): k % 3 == 0 for k in range(300)}
+    assert few.rate == sum(urls.values()) / len(urls)
+    want = {}
+    for u, bad in urls.items():
+        host, path = parts(u)
+        names = host.split(".")[::-1]
+        first = path[1:].split("/")[0] if path.count("/") > 1 else ""
+        for part, value in (("suffix_1", names[0]), ("suffix_2", ".".join(names[:2])), ("suffix_3", ".".join(names[:3])), ("segment", first)):
+            n, blocked = want.get((part, value), (0, 0))
+            want[part, value] = n + 1, blocked + bad
+    got = {(part, r[part]): (r.n, r.blocked) for part, counts in few.parts.items() for r in counts.collect()}
+    assert got == want
+
+
+def test_joined_counts_score_like_broadcast_ones(spark, labelled, model, monkeypatch):
+    pages = spark.createDataFrame([*enumerate(URLS), (1, URLS[1]), *((100 + k, url(k, k % 2)) for k in range(30))], "page_id bigint, url string")
+    near = sorted(map(str, url_filter.judge(pages, model).collect()))
+    monkeypatch.setattr(url_filter, "BROADCAST_BYTES", 0)
+    assert sorted(map(str, url_filter.judge(pages, model).collect())) == near
+    assert sorted(map(str, url_filter.judge(pages, url_filter.train(labelled)).collect())) == near

@@ -15,8 +15,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Most labelled URLs a model is trained from: those with the smallest hashes.
+from wordloom.session import stage_table
+
+#: Most labelled URLs the trees are fitted to: those with the smallest hashes. Shares per part count all labelled URLs.
 MAX_LABELLED = 10_000
+#: Bytes of a part's counts that are broadcast; larger ones are joined, each row of them at ``SALTS`` places.
+BROADCAST_BYTES, SALTS = 32 << 20, 16
 TREES, DEPTH, SEED = 20, 4, 42
 #: Labelled URLs that a suffix or path part seems to have besides its own, at the mean rate.
 PRIOR = 10.0
@@ -50,6 +54,13 @@ def _suffix(host: Column, labels: int) -> Column:
 
 #: What labelled shares are kept for: the host's last one, two and three labels, and the path's first part.
 PARTS = ("suffix_1", "suffix_2", "suffix_3", "segment")
+
+
+def _parts() -> dict[str, Column]:
+    suffixes = {name: _suffix(F.col("host"), int(name[-1])) for name in PARTS if name[-1].isdigit()}
+    return suffixes | {"segment": F.regexp_extract("path", "^/([^/]*)/", 1)}
+
+
 LEXICAL = ("length", "host_length", "path_length", "depth", "digits", "upper", "hyphens", "dots", "entropy", "parameters", "secure", "fragment", "longest")
 
 
@@ -76,8 +87,16 @@ def lexical(rows: DataFrame) -> DataFrame:
         "fragment": F.contains(u, F.lit("#")).cast("double"),
         "longest": F.array_max(F.transform(F.split("path", "[/._-]"), lambda s: F.length(s))).cast("double"),
     }
-    parts = {name: _suffix(F.col("host"), int(name[-1])) for name in PARTS if name[-1].isdigit()}
-    return rows.withColumns(values | parts | {"segment": F.regexp_extract("path", "^/([^/]*)/", 1)})
+    return rows.withColumns(values | _parts())
+
+
+def _look_up(rows: DataFrame, counts: DataFrame, part: str) -> DataFrame:
+    """The counts of each row's part; a host of many rows is spread over ``SALTS`` tasks where they are joined."""
+    if (counts.agg(F.sum(F.octet_length(part) + 64)).first()[0] or 0) <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(counts), part, "left")
+    salted = rows.withColumn("salt", F.pmod(F.xxhash64("url"), F.lit(SALTS)).cast("int"))
+    copies = counts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, [part, "salt"], "left").drop("salt")
 
 
 @dataclass
@@ -92,7 +111,7 @@ class UrlModel:
         """``own`` leaves a labelled row itself out of its parts' counts."""
         for part, counts in self.parts.items():
             less, label = (F.lit(1.0), F.col("label")) if own else (F.lit(0.0), F.lit(0.0))
-            rows = rows.join(F.broadcast(counts), part, "left")  # at most MAX_LABELLED rows
+            rows = _look_up(rows, counts, part)
             known = F.coalesce(F.col("n") - less, F.lit(0.0))
             rows = rows.withColumn(f"rate_{part}", (F.coalesce(F.col("blocked") - label, F.lit(0.0)) + PRIOR * self.rate) / (known + PRIOR))
             rows = rows.withColumn(f"seen_{part}", F.log1p(known)).drop("n", "blocked")
@@ -110,22 +129,27 @@ class UrlModel:
 def train(labelled: DataFrame) -> UrlModel:
     """Trees from labelled URLs (url, blocked boolean, any other columns); rows with a null label are skipped.
 
-    At most ``MAX_LABELLED`` distinct labelled URLs are used, those with the smallest hashes, so
-    the model depends on the rows alone and not on their order or partitions.
+    Shares of blocked URLs per host suffix and path part, and the mean rate, are counted over all distinct labelled URLs. The
+    trees are fitted to at most ``MAX_LABELLED`` of these, those with the smallest hashes, so the model depends on the
+    rows alone and not on their order or partitions. A URL with both labels counts as blocked.
     """
     spark = labelled.sparkSession
-    rows = labelled.where("blocked is not null").select("url", F.col("blocked").cast("double").alias("label"))
-    kept = rows.withColumn("mark", F.xxhash64("url")).groupBy("mark", "url").agg(F.max("label").alias("label")).orderBy("mark", "url").limit(MAX_LABELLED)
-    few = [(r.url, r.label) for r in kept.collect()]
+    rows = labelled.where("blocked is not null").select(F.col("url").cast("string"), F.col("blocked").cast("double").alias("label"))
+    urls = stage_table(rows.withColumn("mark", F.xxhash64("url")).groupBy("mark", "url").agg(F.max("label").alias("label")), "labelled-urls")
+    few = [(r.url, r.label) for r in urls.orderBy("mark", "url").limit(MAX_LABELLED).collect()]
     if not few:
         return UrlModel(None, {}, 0.0)
     host, path = host_and_path("url")
-    frame = lexical(spark.createDataFrame(few, "url string, label double").coalesce(1).select("url", "label", host.alias("host"), path.alias("path")))
-    rate = sum(label for _, label in few) / len(few)
-    per_part = {part: frame.groupBy(part).agg(F.count("*").cast("double").alias("n"), F.sum("label").alias("blocked")).collect() for part in PARTS}  # at most MAX_LABELLED rows
-    counts = {part: spark.createDataFrame(found, f"{part} string, n double, blocked double") for part, found in per_part.items()}
-    model = UrlModel(None, counts, rate)
-    ready = model.features(frame, own=True).select("features", "label").coalesce(1)
+    placed = urls.select("label", host.alias("host"), path.alias("path"))
+    each = F.explode(F.array(*(F.struct(F.lit(name).alias("part"), value.alias("value")) for name, value in _parts().items()))).alias("p")
+    counted = placed.select("label", each).groupBy("p.part", "p.value").agg(F.count("*").cast("double").alias("n"), F.sum("label").alias("blocked"))
+    counted = stage_table(counted, "labelled-parts")
+    total, blocked = urls.agg(F.count("*"), F.sum("label")).first()
+    counts = {part: counted.where(F.col("part") == part).select(F.col("value").alias(part), "n", "blocked") for part in PARTS}
+    model = UrlModel(None, counts, blocked / total)
+    frame = lexical(spark.createDataFrame(few, "url string, label double").select("url", "label", host.alias("host"), path.alias("path")))
+    # at most MAX_LABELLED rows, in one order whatever the joins
+    ready = model.features(frame, own=True).select("url", "features", "label").coalesce(1).sortWithinPartitions("url")
     model.trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, checkpointInterval=-1).fit(ready)
     return model
 
