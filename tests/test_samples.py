@@ -92,3 +92,13 @@ def test_draws_follow_weights_and_reruns_agree(frame):
         assert all(low <= t <= high for t in times) and abs(sum(times) / 500 - epochs * w / mean) < 0.2
     assert samples.weighted_draws(rows, F.col("w"), 2).columns == rows.columns
     assert samples.weighted_draws(rows.limit(0), F.col("w"), 2).count() == 0
+
+
+def test_bytes_of_a_text_without_a_pattern(frame):
+    """Before, a regular expression cut the text's hexadecimal form and each piece was converted."""
+    from wordloom.plans import queries
+
+    texts = ["a", "", "é€😀 \t~", "\x00\x7f\x80ÿ", None]
+    made = frame([(k, t) for k, t in enumerate(texts)], "k int, t string").select("k", queries._byte_ids(F.col("t")).alias("ids"))
+    assert {r.k: r.ids for r in made.collect()} == {k: None if t is None else list(t.encode()) for k, t in enumerate(texts)}
+    assert "regexp" not in made._jdf.queryExecution().optimizedPlan().toString()
