@@ -129,6 +129,29 @@ def test_links_equal_all_pairs(frame, monkeypatch, split, step, cell):
     assert got(frame, rows) == expected(rows)
 
 
+def test_every_row_meets_the_first_of_its_column(frame):
+    rows = [(1, 100, 7, 0, 0), (2, 100, 7, 1, 1), (3, 100, 7, 1, 2), (4, 100, 7, 0, 1), (5, 100, 8, 0, 0)]
+    star = jaccard_join._star(frame(rows, "id bigint, n bigint, shingle bigint, part bigint, place bigint"), 85)
+    assert sorted((r.a, r.b) for r in star.collect()) == [(2, 1), (3, 1), (3, 2), (4, 1)]
+
+
+def test_copies_of_one_text_leave_few_pairs_after_the_star(frame, monkeypatch):
+    """Two copies differ by more than the threshold, each of them and the text by less."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    origin, rows = [word() for _ in range(150)], []
+    for k in range(300):
+        copy = list(origin)
+        for at in rng.sample(range(2, 150, 5), 2):
+            copy[at] = word()
+        rows.append((k + 1, " ".join(copy)))
+    rows.append((0, " ".join(origin)))
+    seen, rest = [], jaccard_join._rest
+    monkeypatch.setattr(jaccard_join, "_rest", lambda places, percent: (seen.append(rest(places, percent).count()), rest(places, percent))[1])
+    assert got(frame, rows) == expected(rows)
+    assert seen[0] <= len(rows)
+
+
 def test_ids_that_unlike_texts_share(frame):
     rows = near_copies(8, groups=2, size=6, foreign=0)
     rows = [(k // 2, text) for k, (_, text) in enumerate(rows)]

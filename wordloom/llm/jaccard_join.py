@@ -13,8 +13,8 @@ Rows of the matrix are distinct shingle sets (copies collapse into one row), col
    pair goes as soon as its count and the entries left must stay below t (n + m) / (1 + t).
 
 For components alone, pairs inside one component need no product: each column first multiplies its
-rows with one row of its own (a star), and only rows that are still in different components meet in
-full. That keeps a large group of near copies linear, and loses no link. ``jaccard_links`` gives
+rows with one row of its own and one of their part (a star), and only rows that are still in different
+components meet in full. That keeps a large group of near copies linear, and loses no link. ``jaccard_links`` gives
 every link between different texts instead.
 
 Columns held by a large share of all rows are found beforehand (at most ``HOT_SHARE`` times the mean
@@ -297,14 +297,16 @@ def _product(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
 
 
 def _star(places: DataFrame, percent: int) -> DataFrame:
-    """Rows of a part of a column against the part's first row, firsts against the column's first; ``b`` is the first."""
-    firsts = places.groupBy("shingle", "part").agg(F.min(F.struct("place", "n", "id")).alias("y"))
-    column = firsts.groupBy("shingle").agg(F.min("y").alias("z"))
-    ends = lambda x, y: (F.col(f"{x}.id").alias("a"), F.col(f"{y}.id").alias("b"))
+    """Rows of a part of a column against the part's first row and against the column's first; ``b`` is the first.
+
+    Rows of a part may all be nearer to the column's first than to their own, so each meets both: two pairs a place at most.
+    """
+    firsts = places.groupBy("shingle", "part").agg(F.min(F.struct("place", "n", "id")).alias("own"))
+    column = firsts.groupBy("shingle").agg(F.min("own").alias("whole"))
+    firsts = firsts.join(column, "shingle").select("shingle", "part", F.explode(F.array_distinct(F.array("own", "whole"))).alias("y"))
     x = places.select("shingle", "part", F.struct("place", "n", "id").alias("x"))
-    within = x.join(firsts, ["shingle", "part"]).where(f"x.id <> y.id and {_bound(percent)}").select(*ends("x", "y"))
-    across = firsts.withColumnRenamed("y", "x").join(column.withColumnRenamed("z", "y"), "shingle")
-    return within.unionByName(across.where(f"x.id <> y.id and {_bound(percent)}").select(*ends("x", "y")))
+    met = x.join(firsts, ["shingle", "part"]).where(f"x.id <> y.id and {_bound(percent)}")
+    return met.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
 
 def _open(places: DataFrame, percent: int) -> DataFrame:
