@@ -2,7 +2,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from wordloom.operators import counts, dictionary
+from wordloom.operators import counts, dictionary, lines
 from wordloom.operators.ranking import with_position
 
 
@@ -93,3 +93,31 @@ def test_large_input_is_shuffled_once(spark):
     assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
     cold = dictionary.sentence_token_ids(tokens, known, 300)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in cold and "partial_collect_list" in cold
+
+
+def test_sentences_give_the_ids_of_their_tokens(frame):
+    """Before, every token was joined and gathered again; now only sentences with words that are not broadcast are."""
+    said = ["b a  a", " a b ", "", "   ", "a", "c a é rare", "\ta", "x y z a", None]
+    rows = [(k % 7 if k < 60 else None, k // 7, s) for k, s in enumerate(said * 8)]
+    sentences = frame(rows, "doc_id bigint, line_no int, sentence string")
+    tokens = lines.to_tokens(sentences)
+    known = dictionary.build_dictionary(tokens.where("word <> 'z'"))
+    ids = lambda df: sorted(((r.doc_id, r.line_no, r.token_ids) for r in df.collect()), key=str)
+    for size in (64 << 20, 150, 1):
+        assert ids(dictionary.sentence_token_ids(sentences, known, size)) == ids(dictionary.sentence_token_ids(tokens, known, size))
+    single = sentences.dropDuplicates(["doc_id", "line_no"]).localCheckpoint()
+    for size in (64 << 20, 150, 1):
+        made = dictionary.sentence_token_ids(single, known, size, once=True)
+        assert ids(made) == ids(dictionary.sentence_token_ids(lines.to_tokens(single), known, size))
+    plan = dictionary.sentence_token_ids(single, known, once=True)._jdf.queryExecution().sparkPlan().toString()
+    assert "Aggregate" not in plan and "Join" not in plan
+
+
+def test_rows_of_one_id_are_one_sentence_as_before(spark, tmp_path):
+    from wordloom.plans.queries import QUERIES
+
+    docs = [(1, "a b c"), (1, "d e f g"), (2, "a b"), (None, "x"), (None, "y z")]
+    for name, rows in (("twice", docs), ("once", docs[1:3])):
+        spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / name / "documents.parquet"))
+        made = {r.doc_id: len(r.ids_str.split(";")) for r in QUERIES["sentence_token_ids"](spark, str(tmp_path / name)).collect()}
+        assert made == ({1: 7, 2: 2, None: 3} if name == "twice" else {1: 4, 2: 2})
