@@ -1,5 +1,7 @@
 from collections import Counter
 
+import pytest
+
 from wordloom.operators import rejects, samples, sharding
 from wordloom.functions import vectors as V
 from pyspark.sql import functions as F
@@ -115,3 +117,23 @@ def test_bytes_of_a_text_without_a_pattern(frame):
     made = frame([(k, t) for k, t in enumerate(texts)], "k int, t string").select("k", queries._byte_ids(F.col("t")).alias("ids"))
     assert {r.k: r.ids for r in made.collect()} == {k: None if t is None else list(t.encode()) for k, t in enumerate(texts)}
     assert "regexp" not in made._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_ids_beyond_single_precision_are_read_whole(frame):
+    """Before, 16777217 was read as 16777216."""
+    cases = {"1.6777217E7": 16777217, "16777216.0": 16777216, "1.6777215E7": 16777215, "2147483647": 2147483647, "2147483648": None, "-16777217": -16777217, "1e39": None}
+    rows = frame([(t,) for t in cases], "raw string").select("raw", rejects.token_id_from_text(F.col("raw")).alias("id"))
+    assert {r.raw: r.id for r in rows.collect()} == cases
+
+
+@pytest.mark.parametrize("name", ["pad_windows", "samples_tsv", "samples_parse", "token_id_from_text", "samples_dedup", "samples_rescan", "cooccurrence_totals", "embedding_coverage"])
+def test_a_dictionary_beyond_single_precision_gives_samples(spark, tmp_path, monkeypatch, name):
+    """Before, the first sample with an id over the bound (2^24) raised an error. Both number types spell an id alike."""
+    from wordloom.plans import queries
+
+    texts = [(k, " ".join(f"w{(k * k + j) % 13}" for j in range(12))) for k in range(6)]
+    spark.createDataFrame(texts, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    single = queries.QUERIES[name](spark, str(tmp_path)).collect()
+    monkeypatch.setattr(samples, "EXACT_FLOAT", 4)
+    double = queries.QUERIES[name](spark, str(tmp_path)).collect()
+    assert sorted(map(str, double)) == sorted(map(str, single)) and single
